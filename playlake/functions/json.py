@@ -1,12 +1,20 @@
 """JSON access with the warehouse's scalar-only semantics.
 
 ``json_scalar`` returns the text of a string, number or boolean at ``path`` and
-NULL for JSON null, objects, arrays and missing paths.  The document is parsed
-once into a VARIANT (``parse``) and every path is read from it JVM-side.
+NULL for JSON null, objects, arrays and missing paths.
+
+``json_fields`` reads many top-level fields of a JSON text column at once with a
+single ``from_json`` into STRING fields (the fast, vectorised path: a string
+field receives the decoded text of a scalar, and the raw text of an object or
+array).  Only a value whose text starts with '{' or '[' -- an object, an array,
+or a string that happens to start that way -- takes the exact VARIANT check,
+evaluated lazily inside the CASE branch.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -27,3 +35,27 @@ def json_scalar(doc: Column, path: str) -> Column:
 def json_subtree(doc: Column, path: str) -> Column:
     """JSON text of the node at ``path`` (keys in canonical sorted order)."""
     return F.to_json(F.variant_get(doc, path, "variant"))
+
+
+def json_fields(text: Column, names: Sequence[str]) -> Column:
+    """Struct of the top-level ``names`` of JSON ``text``, each as raw STRING."""
+    schema = "struct<" + ", ".join(f"`{n}`: string" for n in names) + ">"
+    return F.from_json(text, schema)
+
+
+def any_suspicious(raw_values: Sequence[Column]) -> Column:
+    """True when some raw field text could be an object or array."""
+    cond = F.lit(False)
+    for v in raw_values:
+        cond = cond | F.coalesce(v.startswith("{") | v.startswith("["), F.lit(False))
+    return cond
+
+
+def scalar_only(raw_value: Column, parsed: Column, name: str) -> Column:
+    """Apply the scalar-only rule to a field read by ``json_fields``.
+
+    ``parsed`` is the VARIANT of the same document, computed (in an earlier
+    projection) only for rows where ``any_suspicious`` holds.
+    """
+    suspicious = raw_value.startswith("{") | raw_value.startswith("[")
+    return F.when(suspicious, json_scalar(parsed, f"$.{name}")).otherwise(raw_value)

@@ -6,11 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playlake.config import RunWindow
-from playlake.functions import clean_text, json_scalar, json_subtree, parse, scrub_ad_id, start_of_day
+from playlake.functions import clean_text, parse, scrub_ad_id, start_of_day
+from playlake.functions.json import any_suspicious, json_fields, scalar_only
 from playlake.functions.time import timestamp_from_millis
 from playlake.operators.topk import top1_per_key
 
-PROPS = "$.properties"
+TOP_FIELDS = ["event_id", "event_name", "properties", "timestamp"]
+PROPERTY_FIELDS = ["user_id", "device_id", "platform", "app_version", "os_version", "country", "city", "language",
+                   "device_manufacturer", "device_brand", "device_model", "adid", "idfa", "idfv", "af_id",
+                   "ftue_step", "ftue_value", "territory"]
 
 STG_EVENTS_COLUMNS = [
     "event_timestamp", "event_name", "event_id", "user_id", "device_id", "platform", "app_version",
@@ -27,18 +31,41 @@ def scan_event_log(raw: DataFrame, window: RunWindow) -> DataFrame:
 
 
 def extract_events(raw: DataFrame) -> DataFrame:
-    """JSON payload -> typed event columns (one parse per row)."""
-    v = parse(F.col("data"))
+    """JSON payload -> typed event columns.
+
+    Two ``from_json`` passes (document, then its ``properties`` text) read all
+    fields; the exact VARIANT path runs only for values that look like objects
+    or arrays, and the hash fallback for ``event_id`` parses only rows without
+    an id.
+    """
+    t = raw.select(json_fields(F.col("data"), TOP_FIELDS).alias("_t"), F.col("data").alias("_payload"))
+    ids = [F.col("_t.event_id"), F.col("_t.event_name")]
+    # the document is parsed to a VARIANT only where needed: a missing id (hash
+    # fallback) or an id/name that looks like an object or array
+    t = t.withColumn("_dv", F.when(F.col("_t.event_id").isNull() | any_suspicious(ids), parse(F.col("_payload"))))
+    t = t.select(
+        scalar_only(F.col("_t.event_id"), F.col("_dv"), "event_id").alias("_event_id"),
+        scalar_only(F.col("_t.event_name"), F.col("_dv"), "event_name").alias("_event_name"),
+        F.sha1(F.to_json(F.col("_dv"))).alias("_doc_hash"),
+        F.col("_t.timestamp").alias("_timestamp"),
+        F.col("_t.properties").alias("event_properties"),
+        json_fields(F.col("_t.properties"), PROPERTY_FIELDS).alias("_p"),
+        "_payload")
+    praw = [F.col(f"_p.{n}") for n in PROPERTY_FIELDS]
+    top = t.withColumn("_pv", F.when(any_suspicious(praw), parse(F.col("event_properties"))))
+    # each property is resolved once (a projection of its own), then cleaned
+    top = top.select(*[scalar_only(F.col(f"_p.{n}"), F.col("_pv"), n).alias(f"_r_{n}") for n in PROPERTY_FIELDS],
+                     "_event_id", "_event_name", "_doc_hash", "_timestamp", "event_properties", "_payload")
 
     def prop(name: str):
-        return json_scalar(v, f"{PROPS}.{name}")
+        return F.col(f"_r_{name}")
 
     raw_platform = prop("platform")
     ftue_territory = F.when(prop("ftue_step") == "territory", prop("ftue_value")).otherwise(prop("territory"))
-    return raw.select(
-        timestamp_from_millis(F.variant_get(v, "$.timestamp", "bigint")).alias("event_timestamp"),
-        json_scalar(v, "$.event_name").alias("event_name"),
-        F.coalesce(json_scalar(v, "$.event_id"), F.sha1(F.to_json(v))).alias("event_id"),
+    return top.select(
+        timestamp_from_millis(F.col("_timestamp").cast("bigint")).alias("event_timestamp"),
+        F.col("_event_name").alias("event_name"),
+        F.coalesce(F.col("_event_id"), F.col("_doc_hash")).alias("event_id"),
         clean_text(prop("user_id")).alias("user_id"),
         clean_text(prop("device_id")).alias("device_id"),
         F.nullif(F.trim(F.lower(raw_platform)), F.lit("")).alias("platform"),
@@ -50,8 +77,8 @@ def extract_events(raw: DataFrame) -> DataFrame:
         clean_text(prop("idfv")).alias("idfv"),
         clean_text(prop("af_id")).alias("af_id"),
         clean_text(ftue_territory).alias("territory"),
-        json_subtree(v, PROPS).alias("event_properties"),
-        F.col("data").alias("_payload"),
+        "event_properties",
+        "_payload",
     )
 
 

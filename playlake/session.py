@@ -16,6 +16,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         b = b.master(master)
     conf = {
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -27,6 +28,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master and master.startswith("local"):
+        conf["spark.driver.memory"] = os.environ.get("PLAYLAKE_DRIVER_MEMORY", "16g")
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
