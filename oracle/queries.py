@@ -6,17 +6,43 @@ from oracle import jobs
 from oracle.builder import Query
 
 
-def _select_all(builder, *args, **kw) -> str:
+def _sql(builder, *args, **kw) -> str:
     q = Query()
     name = builder(q, *args, **kw)
     return q.sql(f"SELECT * FROM {name}")
 
 
 def oracle_sql() -> dict[str, str]:
-    out = {
-        "stg_events": _select_all(jobs.stg_events),
-        "identity_map": _select_all(jobs.identity_map),
-        "stg_sessions": _select_all(jobs.stg_sessions, "", 10),
-        "stg_sessions_t720": _select_all(jobs.stg_sessions, "", 720),
+    from playlake.plans.catalog import STAGING_EXPECTATIONS
+    return {
+        "stg_events": _sql(jobs.stg_events),
+        "identity_map": _sql(jobs.identity_map),
+        "stg_sessions": _sql(jobs.stg_sessions, "", 10),
+        "stg_sessions_t720": _sql(jobs.stg_sessions, "", 720),
+        "sessions_by_window": _sql(jobs.sessions_by_window),
+        "stg_devices": _sql(jobs.stg_devices),
+        "dim_devices": _sql(jobs.dim_devices),
+        "dim_devices_incremental": _sql(jobs.dim_devices_incremental),
+        "dim_devices_scd": _sql(jobs.dim_devices_scd),
+        "dim_devices_scd_incremental": _sql(jobs.dim_devices_scd_incremental),
+        "dim_device_users_scd": _sql(jobs.dim_device_users_scd),
+        "dim_device_users_scd_incremental": _sql(jobs.dim_device_users_scd_incremental),
+        "stg_attribution": _sql(jobs.stg_attribution),
+        "int_device_attributed_installs": _sql(jobs.dai),
+        "fct_device_attributed_installs": _sql(jobs.fct_dai),
+        "user_attributed_installs": _sql(jobs.user_attributed_installs),
+        "attribution_mapping_full": _sql(jobs.attribution_mapping_full),
+        "attribution_mapping_incremental": _sql(jobs.attribution_mapping_incremental),
+        "dim_users": _sql(jobs.dim_users),
+        "fct_sessions": _sql(jobs.fct_sessions),
+        "fct_events": _sql(jobs.fct_events),
+        "fct_events_incremental": _sql(jobs.fct_events_incremental),
+        "stg_facebook_ads": _sql(jobs.stg_facebook_ads),
+        "stg_google_ads": _sql(jobs.stg_google_ads),
+        "int_ad_platform": _sql(jobs.int_ad_platform),
+        "int_daily_installs": _sql(jobs.int_daily_installs),
+        "fct_user_acquisition_daily": _sql(jobs.fct_user_acquisition_daily),
+        "user_activity": _sql(jobs.user_activity),
+        "quality_report": _sql(jobs.quality_report, STAGING_EXPECTATIONS),
+        "upsert_schema_sync": _sql(jobs.upsert_schema_sync),
     }
-    return out
