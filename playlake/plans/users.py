@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from playlake.config import INFINITY_DEVICE_USERS, Settings
-from playlake.functions import fingerprint64, minus_micro, ntz
+from playlake.functions import fingerprint64, minus_micro, ntz, timeline_bucket
+from playlake.operators.timeline import BUCKET, lag_across, lead_across, next_non_null_across
 from playlake.operators.upsert import upsert
+from playlake.sources.sinks import materialize
 
 DIM_DEVICE_USERS_COLUMNS = ["dim_device_user_sk", "device_id", "user_id", "valid_from", "valid_to"]
 
@@ -34,6 +36,28 @@ def scd2_from_timeline(timeline: DataFrame, key: str, state: str, ts: str, place
     return starts.withColumn("valid_to", F.lead("valid_from", 1).over(wp))
 
 
+def scd2_from_timeline_bucketed(timeline: DataFrame, key: str, state: str, ts: str, placeholder: str,
+                                bucket_hours: int) -> DataFrame:
+    """M3 with the same result as ``scd2_from_timeline``, computed with the
+    skew-safe cross-bucket lag/lead of ``operators.timeline``: no window ever
+    holds more than one (key, time bucket) of rows, or one key's bucket summaries.
+
+    Each cross-bucket step reads its input twice (rows and bucket summaries), so
+    the two intermediate timelines are written once as tables (narrow: key, state,
+    time) instead of being recomputed by every later step."""
+    t = timeline.select(key, state, ts).withColumn(BUCKET, timeline_bucket(F.col(ts), bucket_hours))
+    t = next_non_null_across(t, key, [ts, state], state, "_next")
+    states = t.select(key, ts, BUCKET, F.coalesce(F.col(state), F.col("_next")).alias("_eff")).distinct()
+    states = materialize(states, "scd2_states")
+    cmp = F.coalesce(F.col("_eff"), F.lit(placeholder))
+    states = lag_across(states.withColumn("_cmp", cmp), key, [ts, "_cmp"], "_eff", "_prev")
+    starts = (states.filter(F.col("_prev").isNull() | (F.col("_cmp") != F.coalesce(F.col("_prev"), F.lit(placeholder))))
+                    .select(key, F.col("_eff").alias(state), F.col(ts).alias("valid_from"), BUCKET, "_cmp"))
+    starts = materialize(starts, "scd2_starts")
+    ends = lead_across(starts, key, ["valid_from", "_cmp"], "valid_from", "valid_to")
+    return ends.drop(BUCKET, "_cmp")
+
+
 def dim_device_users_scd(sessions: DataFrame, target: DataFrame | None = None,
                          settings: Settings = Settings()) -> DataFrame:
     """The MERGE source.  Incremental runs recompute only the devices seen in
@@ -45,7 +69,8 @@ def dim_device_users_scd(sessions: DataFrame, target: DataFrame | None = None,
         history = (target.join(touched, on="device_id", how="left_semi")
                          .select("device_id", "user_id", F.col("valid_from").alias("event_ts")))
         raw = history.unionByName(raw)
-    periods = scd2_from_timeline(raw, "device_id", "user_id", "event_ts", settings.null_user_placeholder)
+    periods = scd2_from_timeline_bucketed(raw, "device_id", "user_id", "event_ts", settings.null_user_placeholder,
+                                          settings.timeline_bucket_hours)
     sk = fingerprint64(F.concat(F.col("device_id").cast("string"), F.lit("|"), F.col("valid_from").cast("string")))
     return periods.select(
         sk.alias("dim_device_user_sk"), "device_id", "user_id", "valid_from",

@@ -104,3 +104,20 @@ def test_schema_policies(spark):
     assert upsert(t, s, ["k"], policy="sync_all_columns").columns == ["k", "v", "new"]
     with pytest.raises(ValueError):
         evolve_schema(t, s, "fail")
+
+
+def test_bucketed_scd2_equals_single_window(spark):
+    import random
+    rnd = random.Random(3)
+    rows = []
+    for dev in range(5):
+        t = T
+        for i in range(80):
+            t += dt.timedelta(minutes=rnd.choice([5, 50, 200, 700, 1500]))
+            u = rnd.choice([None, None, "a", "b"]) if dev else None
+            rows.append((f"d{dev}", u, t))
+    df = spark.createDataFrame(rows, "device_id string, user_id string, event_ts timestamp_ntz")
+    a = users.scd2_from_timeline(df, "device_id", "user_id", "event_ts", "P")
+    b = users.scd2_from_timeline_bucketed(df, "device_id", "user_id", "event_ts", "P", 6)
+    assert sorted(map(tuple, a.collect()), key=repr) == sorted(map(tuple, b.select(*a.columns).collect()), key=repr)
+    assert a.count() > 20
