@@ -206,7 +206,9 @@ def q_attribution_mapping_full(spark, sf):
 def q_attribution_mapping_incremental(spark, sf):
     p1, p2 = _parts(spark, sf)
     first = installs.attribution_mapping(p1.dai(), p1.dim_device_users_scd(), RUN_TS["p1"])
-    return installs.attribution_mapping_merged(p2.dai(), p2.dim_device_users_scd(), RUN_TS["p2"], first)
+    # the second run reads the device->user dimension as merged by its own second run
+    ddu = users.dim_device_users_scd_merged(p2.stg_sessions(), p1.dim_device_users_scd())
+    return installs.attribution_mapping_merged(p2.dai(), ddu, RUN_TS["p2"], first)
 
 
 def q_dim_users(spark, sf):

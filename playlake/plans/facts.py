@@ -29,6 +29,7 @@ TRANSIENT_PREFIX = "device:"
 
 def fct_sessions(sessions: DataFrame, users: DataFrame, devices_scd: DataFrame, devices: DataFrame,
                  target: DataFrame | None = None) -> DataFrame:
+    """(with ``target``: the table after the MERGE; without: the MERGE source)"""
     """Sessions enriched from the user dim, the device version valid at the
     session start (half-open period) and the device dim."""
     u = users.select(F.col("user_id").alias("_u"), *[F.col(c).alias(f"_u_{c}") for c in
@@ -54,7 +55,8 @@ def fct_sessions(sessions: DataFrame, users: DataFrame, devices_scd: DataFrame,
     return upsert(target, out, ["session_id"])
 
 
-def fct_events(events: DataFrame, sessions_fact: DataFrame, target: DataFrame | None = None) -> DataFrame:
+def fct_events(events: DataFrame, sessions_fact: DataFrame, target: DataFrame | None = None,
+               merge: bool = True) -> DataFrame:
     """Each event with its session's attributes, found through the session's
     event-id array (exploded; sessions with an empty array contribute nothing).
     Incremental runs read only sessions starting inside the events' time span,
@@ -75,7 +77,8 @@ def fct_events(events: DataFrame, sessions_fact: DataFrame, target: DataFrame |
                    F.coalesce(F.nullif(F.col("device_id"), F.lit("")), F.col("_s_device")).alias("device_id"),
                    "event_properties", "platform", "app_version", "os_version", "device_model", "country", "city",
                    "territory", "language", "session_id", "event_source")
-    return upsert(target, out.select(*FCT_EVENTS_COLUMNS), ["event_id"])
+    out = out.select(*FCT_EVENTS_COLUMNS)
+    return upsert(target, out, ["event_id"]) if merge else out
 
 
 def dim_users(sessions: DataFrame, dai: DataFrame, attribution: DataFrame) -> DataFrame:

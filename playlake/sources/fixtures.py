@@ -21,7 +21,7 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _k() -> Column:
-    return F.get_json_object("props", "$.k").cast("int")
+    return F.from_json("props", "k int")["k"]
 
 
 def _dn() -> Column:

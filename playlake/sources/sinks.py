@@ -49,3 +49,53 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def _exists(spark, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def merge_into_table(source: DataFrame, path: str, keys: Sequence[str], partition_day_of: str | None = None,
+                     cluster_by: Sequence[str] = (), policy: str = "ignore") -> None:
+    """Incremental MERGE into a Parquet table, rewriting only what changes.
+
+    Unpartitioned tables are rewritten whole.  Day-partitioned tables rewrite only
+    the partitions that hold a source row or a target row being replaced: those
+    partitions are read (partition pruning), merged with ``upsert``, written to a
+    staging folder under ``spark.checkpoint.dir`` (a path is never overwritten while
+    it is being read), then swapped in with dynamic partition overwrite.  The set of
+    touched days is bounded by the calendar, so collecting it is cheap.
+    """
+    from playlake.operators.upsert import upsert
+
+    spark = source.sparkSession
+    if not _exists(spark, path):
+        write_table(source, path, partition_day_of, cluster_by)
+        return
+    staging = f"{checkpoint_dir(spark).rstrip('/')}/staging/merge-{uuid.uuid4().hex}"
+    target = spark.read.parquet(path)
+    if not partition_day_of:
+        merged = upsert(target.select(*[c for c in target.columns]), source, keys, policy=policy)
+        merged.write.mode("overwrite").parquet(staging)
+        write_table(spark.read.parquet(staging), path, None, cluster_by)
+        return
+    day = f"{partition_day_of}_day"
+    src_keys = source.select(*keys).dropna().distinct()
+    touched = (source.select(F.to_date(partition_day_of).alias(day))
+               .unionByName(target.join(src_keys, on=list(keys), how="left_semi").select(day))
+               .distinct())
+    days = [r[0] for r in touched.collect()]
+    old = target.filter(F.col(day).isin(days)).drop(day)
+    merged = upsert(old, source, keys, policy=policy)
+    write_table(merged, staging, partition_day_of, cluster_by)
+    staged = spark.read.parquet(staging)
+    staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(path)
+    # a touched day whose rows all moved elsewhere is left empty by the merge: drop it
+    kept = {r[0] for r in staged.select(day).distinct().collect()}
+    jvm = spark.sparkContext._jvm
+    for d in days:
+        if d is not None and d not in kept:
+            p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{day}={d.isoformat()}")
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
