@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playlake.functions import first_value_by, ntz
+from playlake.operators.intervals import point_in_interval_join
 from playlake.operators.topk import top1_per_key
 from playlake.operators.upsert import upsert
 
@@ -39,11 +40,9 @@ def fct_sessions(sessions: DataFrame, users: DataFrame, devices_scd: DataFrame,
                              F.col("os_version").alias("_s_os"))
     d = devices.select(F.col("device_id").alias("_dd"), F.col("platform").alias("_d_platform"),
                        F.col("device_model").alias("_d_model"))
-    start = F.col("session_start_ts")
-    j = (sessions.join(u, F.col("user_id") == F.col("_u"), "left")
-                 .join(scd, (F.col("device_id") == F.col("_sd")) & (start >= F.col("_vf")) & (start < F.col("_vt")),
-                       "left")
-                 .join(d, F.col("device_id") == F.col("_dd"), "left"))
+    j = sessions.join(u, F.col("user_id") == F.col("_u"), "left")
+    j = point_in_interval_join(j, scd, "device_id", "_sd", "session_start_ts", "_vf", "_vt", closed_end=False)
+    j = j.join(d, F.col("device_id") == F.col("_dd"), "left")
     out = j.select("session_id", "user_id", "device_id", "session_start_ts", "session_end_ts",
                    "session_length_seconds", "event_count",
                    F.coalesce("platform", "_d_platform").alias("platform"),

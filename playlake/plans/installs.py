@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from playlake.config import INFINITY_ATTRIBUTION, INFINITY_USER_MATCH, RunWindow, Settings
 from playlake.functions import fingerprint64, ntz, start_of_day, surrogate_key
+from playlake.operators.intervals import point_in_interval_join, starts_within_join
 from playlake.operators.topk import top1_per_key
 from playlake.operators.upsert import upsert
 
@@ -104,22 +105,27 @@ def fct_device_attributed_installs(dai: DataFrame, target: DataFrame | None = No
 def user_attributed_installs(installs: DataFrame, device_users: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The user of the device at install time (type 1), else the user whose
     period starts within the look-ahead after the install (type 2, nearest
-    whole-day distance, then earliest start).  Installs with neither vanish."""
-    ahead = F.make_dt_interval(F.lit(settings.user_match_lookahead_days), F.lit(0), F.lit(0), F.lit(0))
+    whole-day distance, then earliest start).  Installs with neither vanish.
+
+    Type-1 candidates come from a day-bucketed point-in-interval join, type-2
+    candidates from a join on the few days of the look-ahead span; the winner per
+    install is a partial aggregate.  No device compares all its installs with all
+    its periods."""
+    ahead = dt.timedelta(days=settings.user_match_lookahead_days)
     m = device_users.select(F.col("device_id").alias("_dev"), F.col("user_id").alias("_user"),
                             F.col("valid_from").alias("_vf"),
                             F.coalesce(F.col("valid_to"), ntz(INFINITY_USER_MATCH)).alias("_vt"))
     t = F.col("install_time_mmp")
-    j = installs.join(m, (F.col("device_id") == F.col("_dev")) & (F.col("_vt") > t) & (F.col("_vf") <= t + ahead),
-                      "inner")
-    prio = (F.when((t >= F.col("_vf")) & (t < F.col("_vt")), 1)
-            .when((F.col("_vf") > t) & (F.col("_vf") <= t + ahead) & (t < F.col("_vt")), 2)
-            .otherwise(99))
+    keep = [*UAI_COLUMNS[:3], *UAI_COLUMNS[4:]]
+    inside = point_in_interval_join(installs.select(*keep), m, "device_id", "_dev", "install_time_mmp", "_vf", "_vt",
+                                    closed_end=False, how="inner").withColumn("_prio", F.lit(1))
+    soon = starts_within_join(installs.select(*keep), m, "device_id", "_dev", "install_time_mmp", "_vf", ahead,
+                              extra=F.col("_vt") > t).withColumn("_prio", F.lit(2))
+    cand = inside.unionByName(soon)
     days = F.timestamp_diff("DAY", t, F.col("_vf"))
-    j = (j.withColumn("_prio", prio).filter(F.col("_prio") != 99)
-          .withColumn("_days", F.when(F.col("_prio") == 2, days).otherwise(F.lit(0)))
-          .withColumnRenamed("_user", "user_id"))
-    best = top1_per_key(j.select(*[c for c in UAI_COLUMNS], "_prio", "_days", "_vf"), ["attribution_unique_id"],
+    cand = cand.withColumn("_days", F.when(F.col("_prio") == 2, days).otherwise(F.lit(0))).withColumnRenamed(
+        "_user", "user_id")
+    best = top1_per_key(cand.select(*UAI_COLUMNS, "_prio", "_days", "_vf"), ["attribution_unique_id"],
                         ["_prio", "_days", "_vf", "user_id"])
     return best.select(*UAI_COLUMNS)
 
@@ -127,8 +133,7 @@ def user_attributed_installs(installs: DataFrame, device_users: DataFrame, setti
 def _mapping_source(dai: DataFrame, device_users: DataFrame) -> DataFrame:
     u = device_users.select(F.col("device_id").alias("_dev"), "dim_device_user_sk", "user_id",
                             F.col("valid_from").alias("_vf"), F.col("valid_to").alias("_vt"))
-    j = dai.join(u, (F.col("device_id") == F.col("_dev")) & F.col("installtime").between(F.col("_vf"), F.col("_vt")),
-                 "left")
+    j = point_in_interval_join(dai, u, "device_id", "_dev", "installtime", "_vf", "_vt", closed_end=True, how="left")
     vh = surrogate_key("dim_device_user_sk", "mediasource", "campaign", "adset", "platform", "join_method")
     return j.select("attribution_unique_id", "appsflyerid", "device_id", "mediasource", "campaign", "adset",
                     "installtime", "platform", "first_touch_timestamp", "join_method", "dim_device_user_sk",
