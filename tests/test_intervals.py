@@ -8,7 +8,6 @@ T = dt.datetime(2024, 1, 10, 12)
 def test_half_open_vs_closed_end(spark):
     iv = spark.createDataFrame([("d", T - dt.timedelta(days=3), T), ("d", T + dt.timedelta(microseconds=1), None)],
                                "k string, vf timestamp_ntz, vt timestamp_ntz")
-    iv = iv.fillna({"vt": "9999-12-31 23:59:59"}) if False else iv
     from pyspark.sql import functions as F
     iv = iv.withColumn("vt", F.coalesce("vt", F.lit("9999-12-31 23:59:59").cast("timestamp_ntz")))
     pts = spark.createDataFrame([("d", T, 1), ("d", T - dt.timedelta(days=2), 2), ("x", T, 3)],
