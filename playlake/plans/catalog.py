@@ -77,8 +77,9 @@ class Inputs:
             fx.organic_installs_report(ev), fx.paid_installs_report(ev), WINDOW))
 
     def dai(self) -> DataFrame:
-        return self._memo("dai", lambda: installs.int_device_attributed_installs(
-            self.stg_attribution(), self.stg_devices()))
+        """A view with three consumers: written once (fan-out point)."""
+        return self._memo("dai", lambda: materialize(installs.int_device_attributed_installs(
+            self.stg_attribution(), self.stg_devices()), f"dai{self.part}"))
 
     def fct_dai(self) -> DataFrame:
         return self._memo("fct_dai", lambda: installs.fct_device_attributed_installs(self.dai()))

@@ -97,7 +97,8 @@ def run_pipeline(spark: SparkSession, src: RawSources, warehouse: str, window: R
     merge("dim_devices_scd", devices.dim_devices_scd(dev, target("dim_devices_scd")))
     merge("dim_device_users_scd", users.dim_device_users_scd(ses, target("dim_device_users_scd"), settings))
 
-    dai = installs.int_device_attributed_installs(att, dev)  # view
+    # a view with three consumers: written once at the fan-out point
+    dai = materialize(installs.int_device_attributed_installs(att, dev), "int_device_attributed_installs")
     merge("fct_device_attributed_installs", installs.fct_device_attributed_installs(dai))
     ddu = target("dim_device_users_scd")
     merge("dim__device_user_attribution_mapping",
