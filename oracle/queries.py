@@ -13,7 +13,8 @@ def _sql(builder, *args, **kw) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    from playlake.plans.catalog import STAGING_EXPECTATIONS
+    from playlake.plans.catalog import MART_MODELS, STAGING_EXPECTATIONS
+    from playlake.plans.expectations import for_models
     return {
         "stg_events": _sql(jobs.stg_events),
         "identity_map": _sql(jobs.identity_map),
@@ -44,5 +45,6 @@ def oracle_sql() -> dict[str, str]:
         "fct_user_acquisition_daily": _sql(jobs.fct_user_acquisition_daily),
         "user_activity": _sql(jobs.user_activity),
         "quality_report": _sql(jobs.quality_report, STAGING_EXPECTATIONS),
+        "quality_report_marts": _sql(jobs.quality_report, for_models(MART_MODELS), "qr_marts"),
         "upsert_schema_sync": _sql(jobs.upsert_schema_sync),
     }

@@ -37,12 +37,20 @@ def _unique(df: DataFrame, model: str, col: str) -> DataFrame:
         F.col("failures").cast("bigint"))
 
 
+def _cannot_run(spark: SparkSession, e: Expectation) -> DataFrame:
+    # the model does not output the column: reported with NULL failures
+    return spark.createDataFrame([(e.model, e.column, e.test, None)], REPORT_SCHEMA)
+
+
 def quality_report(spark: SparkSession, models: Mapping[str, DataFrame],
                    expectations: Sequence[Expectation]) -> DataFrame:
-    """One row per expectation: (model, column_name, test, failures)."""
+    """One row per expectation: (model, column_name, test, failures).  A column the
+    model does not have is reported with NULL failures (the test cannot run)."""
     parts = []
     for model, df in models.items():
         mine = [e for e in expectations if e.model == model]
+        parts += [_cannot_run(spark, e) for e in mine if e.column not in df.columns]
+        mine = [e for e in mine if e.column in df.columns]
         nn = [e.column for e in mine if e.test == "not_null"]
         if nn:
             parts.append(_not_null(df, model, nn))

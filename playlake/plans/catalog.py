@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playlake.config import RunWindow, Settings
-from playlake.operators.quality import Expectation, quality_report
+from playlake.operators.quality import quality_report
+from playlake.plans.expectations import STAGING_MODELS, for_models
 from playlake.operators.upsert import upsert
 from playlake.plans import ads, devices, facts, installs, users
 from playlake.plans import events as J1
@@ -255,20 +256,7 @@ def q_user_activity(spark, sf):
     return facts.user_activity(i.stg_events(), i.dim_users(), WINDOW.as_of)
 
 
-# the reference's declarative column tests on the staging models
-STAGING_EXPECTATIONS = [
-    *[Expectation("stg_events", c, "not_null") for c in ("event_timestamp", "event_name", "event_id",
-                                                          "event_source")],
-    Expectation("stg_events", "event_id", "unique"),
-    *[Expectation("stg_sessions", c, "not_null") for c in ("session_id", "device_id", "session_start_ts",
-                                                            "session_end_ts", "session_length_seconds",
-                                                            "event_count")],
-    Expectation("stg_sessions", "session_id", "unique"),
-    *[Expectation("stg_attribution", c, "not_null") for c in ("installtime", "mediasource", "appsflyerid",
-                                                               "platform", "extraction_date", "unique_id")],
-    Expectation("stg_attribution", "unique_id", "unique"),
-    *[Expectation("stg_devices", c, "not_null") for c in ("device_id", "first_touch_timestamp")],
-]
+STAGING_EXPECTATIONS = for_models(STAGING_MODELS)
 
 
 def q_quality_report(spark, sf):
@@ -278,6 +266,18 @@ def q_quality_report(spark, sf):
     return quality_report(spark, models, STAGING_EXPECTATIONS)
 
 
+MART_MODELS = ("fct_sessions", "fct_events", "dim_users", "dim_devices_scd", "analytics_events_table")
+
+
+def q_quality_report_marts(spark, sf):
+    """The fact/dimension/source expectations; declared columns a model does not
+    output (e.g. platform of the device-version dimension) report NULL."""
+    i = Inputs(spark, sf)
+    models = {"fct_sessions": i.fct_sessions(), "fct_events": i.fct_events(), "dim_users": i.dim_users(),
+              "dim_devices_scd": i.dim_devices_scd(), "analytics_events_table": fx.raw_event_log(i.events())}
+    return quality_report(spark, models, for_models(MART_MODELS))
+
+
 def q_upsert_schema_sync(spark, sf):
     """Schema evolution: a target without ``country`` and with a retired column,
     merged with the new events under ``sync_all_columns``."""
@@ -316,5 +316,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fct_user_acquisition_daily": q_fct_user_acquisition_daily,
     "user_activity": q_user_activity,
     "quality_report": q_quality_report,
+    "quality_report_marts": q_quality_report_marts,
     "upsert_schema_sync": q_upsert_schema_sync,
 }
