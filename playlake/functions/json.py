@@ -51,11 +51,24 @@ def any_suspicious(raw_values: Sequence[Column]) -> Column:
     return cond
 
 
-def scalar_only(raw_value: Column, parsed: Column, name: str) -> Column:
-    """Apply the scalar-only rule to a field read by ``json_fields``.
+def suspicious_node(raw_value: Column, parsed: Column, name: str) -> Column:
+    """The VARIANT node of field ``name``, only where its raw text looks like an
+    object or array (NULL elsewhere).  Kept in a projection of its own so the
+    VARIANT access is never evaluated for ordinary values."""
+    suspicious = raw_value.startswith("{") | raw_value.startswith("[")
+    return F.when(suspicious, F.variant_get(parsed, f"$.{name}", "variant"))
 
-    ``parsed`` is the VARIANT of the same document, computed (in an earlier
-    projection) only for rows where ``any_suspicious`` holds.
-    """
+
+def resolve_scalar(raw_value: Column, node: Column) -> Column:
+    """Scalar-only value: the raw text, unless ``node`` shows an object/array."""
+    kind = F.schema_of_variant(node)
+    return (F.when(node.isNull(), raw_value)
+            .when(kind.startswith("OBJECT") | kind.startswith("ARRAY"), F.lit(None).cast("string"))
+            .otherwise(node.cast("string")))
+
+
+def scalar_only(raw_value: Column, parsed: Column, name: str) -> Column:
+    """Apply the scalar-only rule to a field read by ``json_fields`` (single
+    expression form of ``suspicious_node`` + ``resolve_scalar``)."""
     suspicious = raw_value.startswith("{") | raw_value.startswith("[")
     return F.when(suspicious, json_scalar(parsed, f"$.{name}")).otherwise(raw_value)

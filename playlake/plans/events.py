@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from playlake.config import RunWindow
 from playlake.functions import clean_text, parse, scrub_ad_id, start_of_day
-from playlake.functions.json import any_suspicious, json_fields, scalar_only
+from playlake.functions.json import any_suspicious, json_fields, resolve_scalar, suspicious_node
 from playlake.functions.time import timestamp_from_millis
 from playlake.operators.topk import top1_per_key
 
@@ -43,9 +43,11 @@ def extract_events(raw: DataFrame) -> DataFrame:
     # the document is parsed to a VARIANT only where needed: a missing id (hash
     # fallback) or an id/name that looks like an object or array
     t = t.withColumn("_dv", F.when(F.col("_t.event_id").isNull() | any_suspicious(ids), parse(F.col("_payload"))))
+    t = t.select("*", *[suspicious_node(F.col(f"_t.{n}"), F.col("_dv"), n).alias(f"_n_{n}")
+                        for n in ("event_id", "event_name")])
     t = t.select(
-        scalar_only(F.col("_t.event_id"), F.col("_dv"), "event_id").alias("_event_id"),
-        scalar_only(F.col("_t.event_name"), F.col("_dv"), "event_name").alias("_event_name"),
+        resolve_scalar(F.col("_t.event_id"), F.col("_n_event_id")).alias("_event_id"),
+        resolve_scalar(F.col("_t.event_name"), F.col("_n_event_name")).alias("_event_name"),
         F.sha1(F.to_json(F.col("_dv"))).alias("_doc_hash"),
         F.col("_t.timestamp").alias("_timestamp"),
         F.col("_t.properties").alias("event_properties"),
@@ -54,8 +56,11 @@ def extract_events(raw: DataFrame) -> DataFrame:
     praw = [F.col(f"_p.{n}") for n in PROPERTY_FIELDS]
     top = t.withColumn("_pv", F.when(any_suspicious(praw), parse(F.col("event_properties"))))
     # each property is resolved once (a projection of its own), then cleaned
-    top = top.select(*[scalar_only(F.col(f"_p.{n}"), F.col("_pv"), n).alias(f"_r_{n}") for n in PROPERTY_FIELDS],
-                     "_event_id", "_event_name", "_doc_hash", "_timestamp", "event_properties", "_payload")
+    rest = ["_event_id", "_event_name", "_doc_hash", "_timestamp", "event_properties", "_payload"]
+    top = top.select("_p", *rest, *[suspicious_node(F.col(f"_p.{n}"), F.col("_pv"), n).alias(f"_n_{n}")
+                                    for n in PROPERTY_FIELDS])
+    top = top.select(*[resolve_scalar(F.col(f"_p.{n}"), F.col(f"_n_{n}")).alias(f"_r_{n}") for n in PROPERTY_FIELDS],
+                     *rest)
 
     def prop(name: str):
         return F.col(f"_r_{name}")
