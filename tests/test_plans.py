@@ -30,3 +30,20 @@ def test_event_window_reaches_the_scan(spark):
     assert "ReadSchema: struct<publish_time:timestamp_ntz,data:string>" in plan
     # de-duplication aggregates partially before the exchange
     assert "partial_max_by" in plan
+
+
+def test_sessionizer_windows_are_per_bucket(spark):
+    import datetime as dt
+    from playlake.operators.sessionize import number_sessions
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [("hot", "d", "hot", t0 + dt.timedelta(minutes=7 * i), f"e{i}") for i in range(500)]
+    df = spark.createDataFrame(rows, "k string, d string, u string, ts timestamp_ntz, id string")
+    out = number_sessions(df, ["k", "d"], "ts", "id", "u", 10, bucket_hours=6)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        out.explain()
+    plan = buf.getvalue()
+    # the row-level window is partitioned by the time bucket as well as the key
+    assert "Window [lag(ts" in plan and "[k#" in plan and "_bucket#" in plan
+    # one continuous session (gaps of 7 minutes) across 6-hour buckets
+    assert {r.session_no for r in out.collect()} == {1}
