@@ -52,11 +52,11 @@ def extract_events(raw: DataFrame) -> DataFrame:
         F.col("_t.timestamp").alias("_timestamp"),
         F.col("_t.properties").alias("event_properties"),
         json_fields(F.col("_t.properties"), PROPERTY_FIELDS).alias("_p"),
-        "_payload")
+        F.md5(F.col("_payload")).alias("_tie"))
     praw = [F.col(f"_p.{n}") for n in PROPERTY_FIELDS]
     top = t.withColumn("_pv", F.when(any_suspicious(praw), parse(F.col("event_properties"))))
     # each property is resolved once (a projection of its own), then cleaned
-    rest = ["_event_id", "_event_name", "_doc_hash", "_timestamp", "event_properties", "_payload"]
+    rest = ["_event_id", "_event_name", "_doc_hash", "_timestamp", "event_properties", "_tie"]
     top = top.select("_p", *rest, *[suspicious_node(F.col(f"_p.{n}"), F.col("_pv"), n).alias(f"_n_{n}")
                                     for n in PROPERTY_FIELDS])
     top = top.select(*[resolve_scalar(F.col(f"_p.{n}"), F.col(f"_n_{n}")).alias(f"_r_{n}") for n in PROPERTY_FIELDS],
@@ -83,7 +83,7 @@ def extract_events(raw: DataFrame) -> DataFrame:
         clean_text(prop("af_id")).alias("af_id"),
         clean_text(ftue_territory).alias("territory"),
         "event_properties",
-        "_payload",
+        "_tie",
     )
 
 
@@ -91,10 +91,11 @@ def stg_events(raw: DataFrame, seed: DataFrame, window: RunWindow) -> DataFrame:
     """Latest copy of each event in the window, with its event source.
 
     De-duplication keeps the newest ``event_timestamp`` per ``event_id`` (ties:
-    the larger payload text) as a partial aggregation.  The 35-row seed is
+    the larger MD5 of the payload, so the payload itself never enters the
+    exchange) as a partial aggregation.  The 35-row seed is
     broadcast; an unknown event name gets a NULL source.
     """
     ev = extract_events(scan_event_log(raw, window))
-    latest = top1_per_key(ev, ["event_id"], ["event_timestamp", "_payload"], descending=True).drop("_payload")
+    latest = top1_per_key(ev, ["event_id"], ["event_timestamp", "_tie"], descending=True).drop("_tie")
     out = latest.join(F.broadcast(seed.select("event_name", "event_source")), on="event_name", how="left")
     return out.select(*STG_EVENTS_COLUMNS)
