@@ -12,6 +12,12 @@ def _sql(builder, *args, **kw) -> str:
     return q.sql(f"SELECT * FROM {name}")
 
 
+def _sql_open_end(builder, *args, **kw) -> str:
+    q = Query()
+    name = builder(q, *args, **kw)
+    return q.sql(f"SELECT * REPLACE (CAST(valid_to AS VARCHAR) AS valid_to) FROM {name}")
+
+
 def oracle_sql() -> dict[str, str]:
     from playlake.plans.catalog import MART_MODELS, STAGING_EXPECTATIONS
     from playlake.plans.expectations import for_models
@@ -24,16 +30,16 @@ def oracle_sql() -> dict[str, str]:
         "stg_devices": _sql(jobs.stg_devices),
         "dim_devices": _sql(jobs.dim_devices),
         "dim_devices_incremental": _sql(jobs.dim_devices_incremental),
-        "dim_devices_scd": _sql(jobs.dim_devices_scd),
-        "dim_devices_scd_incremental": _sql(jobs.dim_devices_scd_incremental),
-        "dim_device_users_scd": _sql(jobs.dim_device_users_scd),
-        "dim_device_users_scd_incremental": _sql(jobs.dim_device_users_scd_incremental),
+        "dim_devices_scd": _sql_open_end(jobs.dim_devices_scd),
+        "dim_devices_scd_incremental": _sql_open_end(jobs.dim_devices_scd_incremental),
+        "dim_device_users_scd": _sql_open_end(jobs.dim_device_users_scd),
+        "dim_device_users_scd_incremental": _sql_open_end(jobs.dim_device_users_scd_incremental),
         "stg_attribution": _sql(jobs.stg_attribution),
         "int_device_attributed_installs": _sql(jobs.dai),
         "fct_device_attributed_installs": _sql(jobs.fct_dai),
         "user_attributed_installs": _sql(jobs.user_attributed_installs),
-        "attribution_mapping_full": _sql(jobs.attribution_mapping_full),
-        "attribution_mapping_incremental": _sql(jobs.attribution_mapping_incremental),
+        "attribution_mapping_full": _sql_open_end(jobs.attribution_mapping_full),
+        "attribution_mapping_incremental": _sql_open_end(jobs.attribution_mapping_incremental),
         "dim_users": _sql(jobs.dim_users),
         "fct_sessions": _sql(jobs.fct_sessions),
         "fct_events": _sql(jobs.fct_events),

@@ -117,6 +117,12 @@ def _ids_as_text(df: DataFrame, col: str = "event_ids_in_session") -> DataFrame:
     return df.withColumn("event_ids", F.array_join(col, ",")).drop(col)
 
 
+def _open_end_as_text(df: DataFrame) -> DataFrame:
+    """Render ``valid_to`` as text: open periods end in year 9999, which pandas'
+    nanosecond timestamps cannot hold; the library keeps the TIMESTAMP."""
+    return df.withColumn("valid_to", F.col("valid_to").cast("string"))
+
+
 def _parts(spark: SparkSession, sf: str) -> tuple[Inputs, Inputs]:
     return Inputs(spark, sf, "p1"), Inputs(spark, sf, "p2")
 
@@ -164,23 +170,23 @@ def q_dim_devices_incremental(spark, sf):
 
 
 def q_dim_devices_scd(spark, sf):
-    return Inputs(spark, sf).dim_devices_scd()
+    return _open_end_as_text(Inputs(spark, sf).dim_devices_scd())
 
 
 def q_dim_devices_scd_incremental(spark, sf):
     p1, p2 = _parts(spark, sf)
     first = devices.dim_devices_scd(p1.stg_devices())
-    return devices.dim_devices_scd_merged(p2.stg_devices(), first)
+    return _open_end_as_text(devices.dim_devices_scd_merged(p2.stg_devices(), first))
 
 
 def q_dim_device_users_scd(spark, sf):
-    return Inputs(spark, sf).dim_device_users_scd()
+    return _open_end_as_text(Inputs(spark, sf).dim_device_users_scd())
 
 
 def q_dim_device_users_scd_incremental(spark, sf):
     p1, p2 = _parts(spark, sf)
     first = users.dim_device_users_scd(p1.stg_sessions())
-    return users.dim_device_users_scd_merged(p2.stg_sessions(), first)
+    return _open_end_as_text(users.dim_device_users_scd_merged(p2.stg_sessions(), first))
 
 
 def q_stg_attribution(spark, sf):
@@ -202,7 +208,7 @@ def q_user_attributed_installs(spark, sf):
 
 def q_attribution_mapping_full(spark, sf):
     i = Inputs(spark, sf)
-    return installs.attribution_mapping(i.dai(), i.dim_device_users_scd(), RUN_TS[""])
+    return _open_end_as_text(installs.attribution_mapping(i.dai(), i.dim_device_users_scd(), RUN_TS[""]))
 
 
 def q_attribution_mapping_incremental(spark, sf):
@@ -210,7 +216,7 @@ def q_attribution_mapping_incremental(spark, sf):
     first = installs.attribution_mapping(p1.dai(), p1.dim_device_users_scd(), RUN_TS["p1"])
     # the second run reads the device->user dimension as merged by its own second run
     ddu = users.dim_device_users_scd_merged(p2.stg_sessions(), p1.dim_device_users_scd())
-    return installs.attribution_mapping_merged(p2.dai(), ddu, RUN_TS["p2"], first)
+    return _open_end_as_text(installs.attribution_mapping_merged(p2.dai(), ddu, RUN_TS["p2"], first))
 
 
 def q_dim_users(spark, sf):

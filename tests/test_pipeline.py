@@ -36,7 +36,10 @@ def test_two_runs_match_incremental_queries(spark):
 
     def table(name, day=None):
         df = spark.read.parquet(paths[name])
-        return df.drop(f"{day}_day") if day else df
+        df = df.drop(f"{day}_day") if day else df
+        if "valid_to" in df.columns:  # the registered queries render open ends as text
+            df = df.withColumn("valid_to", df["valid_to"].cast("string"))
+        return df
 
     _same(table("fct_events", "event_timestamp"), catalog.q_fct_events_incremental(spark, SF))
     _same(table("dim_device_users_scd", "valid_from"), catalog.q_dim_device_users_scd_incremental(spark, SF))
