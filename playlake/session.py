@@ -44,10 +44,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     registered, so that jobs can cut lineage with ``checkpoint()``.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir() if hasattr(spark.sparkContext, "getCheckpointDir") else None
+    sc = None
+    try:
+        sc = spark.sparkContext  # absent on Spark Connect sessions
+    except Exception:  # noqa: BLE001
+        sc = None
+    if not d and sc is not None:
+        d = sc.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="playlake-ckpt-", dir=os.environ.get("PLAYLAKE_SCRATCH", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    if sc is not None:
+        sc.setCheckpointDir(d)
     return d
