@@ -70,7 +70,9 @@ class Inputs:
         return self._memo("dim_devices_scd", lambda: devices.dim_devices_scd(self.stg_devices()))
 
     def dim_device_users_scd(self) -> DataFrame:
-        return self._memo("ddu", lambda: users.dim_device_users_scd(self.stg_sessions()))
+        """An incremental table in the reference with several consumers: written once."""
+        return self._memo("ddu", lambda: materialize(users.dim_device_users_scd(self.stg_sessions()),
+                                                     f"dim_device_users_scd{self.part}"))
 
     def stg_attribution(self) -> DataFrame:
         ev = self.events()
