@@ -16,6 +16,7 @@ PROPERTY_FIELDS = ["user_id", "device_id", "platform", "app_version", "os_versio
                    "device_manufacturer", "device_brand", "device_model", "adid", "idfa", "idfv", "af_id",
                    "ftue_step", "ftue_value", "territory"]
 
+PAYLOAD_MD5 = "payload_md5"
 STG_EVENTS_COLUMNS = [
     "event_timestamp", "event_name", "event_id", "user_id", "device_id", "platform", "app_version",
     "os_version", "country", "city", "language", "device_manufacturer", "device_brand", "device_model",
@@ -87,7 +88,7 @@ def extract_events(raw: DataFrame) -> DataFrame:
     )
 
 
-def stg_events(raw: DataFrame, seed: DataFrame, window: RunWindow) -> DataFrame:
+def stg_events(raw: DataFrame, seed: DataFrame, window: RunWindow, keep_tie: bool = False) -> DataFrame:
     """Latest copy of each event in the window, with its event source.
 
     De-duplication keeps the newest ``event_timestamp`` per ``event_id`` (ties:
@@ -96,6 +97,8 @@ def stg_events(raw: DataFrame, seed: DataFrame, window: RunWindow) -> DataFrame:
     broadcast; an unknown event name gets a NULL source.
     """
     ev = extract_events(scan_event_log(raw, window))
-    latest = top1_per_key(ev, ["event_id"], ["event_timestamp", "_tie"], descending=True).drop("_tie")
+    latest = top1_per_key(ev, ["event_id"], ["event_timestamp", "_tie"], descending=True)
     out = latest.join(F.broadcast(seed.select("event_name", "event_source")), on="event_name", how="left")
+    if keep_tie:  # incremental consumers re-apply the same tie-break later
+        return out.select(*STG_EVENTS_COLUMNS, F.col("_tie").alias(PAYLOAD_MD5))
     return out.select(*STG_EVENTS_COLUMNS)

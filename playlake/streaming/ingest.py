@@ -4,7 +4,8 @@ The reference reprocesses a trailing window in batch and upserts by key.  The
 streaming form runs the same J1 expressions on each micro-batch and merges it into a
 day-partitioned Parquet table, rewriting only the day partitions the batch touches:
 
-1. clean + de-duplicate the batch (J1, latest copy per event id);
+1. clean + de-duplicate the batch (J1, latest copy per event id; the payload hash
+   that breaks timestamp ties is kept as a column so later batches apply the same rule);
 2. read the touched day partitions of the table (partition pruning), union them with
    the batch and keep the latest copy per event id (partial aggregation);
 3. write the merged partitions to a staging folder under ``spark.checkpoint.dir``, then
@@ -26,7 +27,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from playlake.config import RunWindow
 from playlake.operators.topk import top1_per_key
-from playlake.plans.events import STG_EVENTS_COLUMNS, stg_events
+from playlake.plans.events import PAYLOAD_MD5, STG_EVENTS_COLUMNS, stg_events
 from playlake.session import checkpoint_dir
 
 RAW_EVENT_SCHEMA = ("publish_time timestamp_ntz, subscription_name string, message_id decimal(38,9), "
@@ -43,16 +44,16 @@ def _table_exists(spark: SparkSession, path: str) -> bool:
 
 def merge_event_batch(batch: DataFrame, seed: DataFrame, table_path: str, window: RunWindow) -> None:
     spark = batch.sparkSession
-    cleaned = stg_events(batch, seed, window).withColumn(DAY, F.to_date("event_timestamp"))
+    cleaned = stg_events(batch, seed, window, keep_tie=True).withColumn(DAY, F.to_date("event_timestamp"))
     days = [r[0] for r in cleaned.select(DAY).distinct().collect()]  # bounded: days in one batch
     if not days:
         return
     merged = cleaned
     if _table_exists(spark, table_path):
         old = spark.read.parquet(table_path).filter(F.col(DAY).isin(days))
-        merged = old.select(*STG_EVENTS_COLUMNS, DAY).unionByName(cleaned)
-    merged = top1_per_key(merged.withColumn("_props", F.coalesce("event_properties", F.lit(""))),
-                          ["event_id"], ["event_timestamp", "_props"], descending=True).drop("_props")
+        merged = old.select(*STG_EVENTS_COLUMNS, PAYLOAD_MD5, DAY).unionByName(cleaned)
+    # the batch job's rule across batches: newest event time, ties by payload hash
+    merged = top1_per_key(merged, ["event_id"], ["event_timestamp", PAYLOAD_MD5], descending=True)
     staging = os.path.join(checkpoint_dir(spark), "staging", f"events-{uuid.uuid4().hex}")
     merged.write.mode("overwrite").partitionBy(DAY).parquet(staging)
     (spark.read.parquet(staging).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
