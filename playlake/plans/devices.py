@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playlake.config import INFINITY_DEVICE_VERSIONS
-from playlake.functions import first_value_by, minus_micro, ntz
+from playlake.config import Settings
+from playlake.functions import first_value_by, minus_micro, ntz, timeline_bucket
+from playlake.operators.timeline import BUCKET, lead_across
 from playlake.operators.topk import top1_per_key
 from playlake.operators.upsert import upsert
 
@@ -65,17 +67,18 @@ def dim_devices_merged(devices: DataFrame, target: DataFrame | None = None) -> D
     return upsert(target, dim_devices(devices, target), ["device_id"])
 
 
-def scd2_first_seen(states: DataFrame, id_col: str, key: str, ts: str, tie: list[str], infinity) -> DataFrame:
+def scd2_first_seen(states: DataFrame, id_col: str, key: str, ts: str, tie: list[str], infinity,
+                    bucket_hours: int = Settings().timeline_bucket_hours) -> DataFrame:
     """M4: keep the first occurrence of each state id; close it at the next
     state's start minus one microsecond (per ``key``), else ``infinity``.
 
     Deduplication is an aggregation (a NULL id is one group, combined map-side);
-    the ``lead`` window is per key over distinct states only, so its partitions
-    are bounded by the number of versions of one device."""
-    first = top1_per_key(states, [id_col], [ts, *tie])
-    w = Window.partitionBy(key).orderBy(F.col(ts), F.col(id_col))
-    nxt = F.lead(ts, 1).over(w)
-    return first.withColumn("valid_to", F.coalesce(minus_micro(nxt), ntz(infinity)))
+    the next start comes from the cross-bucket ``lead`` (window per key and time
+    bucket), so no key's versions are sorted in one task."""
+    first = top1_per_key(states, [id_col], [ts, *tie]).withColumn(BUCKET, timeline_bucket(F.col(ts), bucket_hours))
+    nxt = lead_across(first, key, [ts, id_col], ts, "_next")
+    return (nxt.withColumn("valid_to", F.coalesce(minus_micro(F.col("_next")), ntz(infinity)))
+               .drop("_next", BUCKET))
 
 
 def dim_devices_scd(devices: DataFrame, target: DataFrame | None = None) -> DataFrame:
