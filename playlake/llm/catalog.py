@@ -20,12 +20,32 @@ def op2_token_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_archive(spark, path)
 
 
+def op3_extendible_hash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from playlake.llm.hash_index import exact_dedup
+
+    return exact_dedup(table(spark, sf_dir, "documents"))
+
+
 def op4_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from playlake.llm.packing import pack_documents
 
     return pack_documents(table(spark, sf_dir, "documents"), default_tokenizer(), size=2048, end_id=0)
 
 
+def op5_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from playlake.llm.slots import shard_documents
+
+    return shard_documents(table(spark, sf_dir, "documents"), shards=16)
+
+
+def op6_content_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write all pages to a content-addressed archive, then read its records back."""
+    from playlake.llm.warc import read_archive, write_archive
+
+    path = write_archive(table(spark, sf_dir, "pages"), shared_path(spark, "warc"))
+    return read_archive(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op10_pair_index_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode all documents, decode the ids again, and digest both."""
     from playlake.llm.bpe import decode_documents, encode_documents
@@ -38,8 +58,41 @@ def op10_pair_index_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_archive": op2_token_archive,
+    "op3_extendible_hash_dedup": op3_extendible_hash_dedup,
     "op4_sum_of_squares_packing": op4_sum_of_squares_packing,
+    "op5_virtual_slots": op5_virtual_slots,
+    "op6_content_archive": op6_content_archive,
     "op10_pair_index_bpe": op10_pair_index_bpe,
 }
 
-LLM_ORACLE_SQL: dict[str, str] = {}
+OP3_SQL = """
+with rows as (
+  select doc_id, length(coalesce(text, '')) as n,
+         regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g') as norm
+  from documents)
+select doc_id,
+       first_value(doc_id) over w as keep_id,
+       count(*) over (partition by norm) as group_size,
+       row_number() over w = 1 as kept,
+       sha256(norm) as text_sha256
+from rows
+window w as (partition by norm order by n desc, doc_id)
+"""
+
+OP6_SQL = """
+with rows as (
+  select page_id, coalesce(html, '') as payload, strlen(coalesce(html, '')) as n from pages),
+ranked as (
+  select *, row_number() over (partition by payload order by page_id) as k,
+         min(page_id) over (partition by payload) as first_id
+  from rows)
+select page_id, n as payload_bytes, sha256(payload) as payload_digest,
+       case when n >= 100 and k > 1 then 'revisit' else 'response' end as record_type,
+       case when n >= 100 and k > 1 then first_id end as refers_to
+from ranked
+"""
+
+LLM_ORACLE_SQL: dict[str, str] = {
+    "op3_extendible_hash_dedup": OP3_SQL,
+    "op6_content_archive": OP6_SQL,
+}
