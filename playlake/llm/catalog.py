@@ -11,6 +11,13 @@ from playlake.llm.common import shared_path, table
 from playlake.llm.tokens import default_tokenizer
 
 
+def op1_difference_cover_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from playlake.llm.substring_dedup import remove_repeated_windows
+
+    done = remove_repeated_windows(table(spark, sf_dir, "documents"), min_words=20)
+    return done.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept_text", "UTF-8"), 256).alias("kept_sha256"))
+
+
 def op2_token_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write all documents as a token-id archive, then read the shard files back."""
     from playlake.llm.token_archive import read_archive, write_archive
@@ -57,6 +64,7 @@ def op10_pair_index_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_difference_cover_dedup": op1_difference_cover_dedup,
     "op2_token_archive": op2_token_archive,
     "op3_extendible_hash_dedup": op3_extendible_hash_dedup,
     "op4_sum_of_squares_packing": op4_sum_of_squares_packing,
@@ -65,6 +73,29 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_pair_index_bpe": op10_pair_index_bpe,
 }
 
+OP1_SQL = """
+with words as (
+  select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as w
+  from documents),
+starts as (
+  select doc_id, w, unnest(range(1, len(w) - 18)) as s from words where len(w) >= 20),
+windows as (
+  select doc_id, s, array_to_string(w[s:s + 19], ' ') as t from starts),
+repeats as (
+  select doc_id, s from (
+    select doc_id, s, row_number() over (partition by t order by doc_id, s) as k from windows) where k > 1),
+gone as (
+  select distinct doc_id, unnest(range(s, s + 20)) as i from repeats),
+places as (
+  select doc_id, unnest(range(1, len(w) + 1)) as i, unnest(w) as word from words),
+kept as (
+  select p.doc_id, string_agg(p.word, ' ' order by p.i) as t
+  from places p anti join gone g on p.doc_id = g.doc_id and p.i = g.i group by p.doc_id),
+removed as (select doc_id, count(*) as n from gone group by doc_id)
+select w.doc_id, len(w.w) as n_words, coalesce(r.n, 0) as n_removed, sha256(coalesce(k.t, '')) as kept_sha256
+from words w left join kept k using (doc_id) left join removed r using (doc_id)
+"""
+
 OP3_SQL = """
 with rows as (
   select doc_id, length(coalesce(text, '')) as n,
@@ -93,6 +124,7 @@ from ranked
 """
 
 LLM_ORACLE_SQL: dict[str, str] = {
+    "op1_difference_cover_dedup": OP1_SQL,
     "op3_extendible_hash_dedup": OP3_SQL,
     "op6_content_archive": OP6_SQL,
 }
