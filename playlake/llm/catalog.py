@@ -53,6 +53,13 @@ def op6_content_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_archive(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op9_vantage_point_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from playlake.llm.simhash import near_duplicates, to_hex
+
+    found = near_duplicates(table(spark, sf_dir, "documents"), shingle_words=3, max_bits=2)
+    return found.select("doc_id", to_hex("fp").alias("fingerprint"), "component_id")
+
+
 def op10_pair_index_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode all documents, decode the ids again, and digest both."""
     from playlake.llm.bpe import decode_documents, encode_documents
@@ -70,6 +77,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_sum_of_squares_packing": op4_sum_of_squares_packing,
     "op5_virtual_slots": op5_virtual_slots,
     "op6_content_archive": op6_content_archive,
+    "op9_vantage_point_simhash": op9_vantage_point_simhash,
     "op10_pair_index_bpe": op10_pair_index_bpe,
 }
 
