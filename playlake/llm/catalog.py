@@ -53,6 +53,12 @@ def op6_content_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_archive(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op8_pca_tiled_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from playlake.llm.embedding_dedup import link_vectors
+
+    return link_vectors(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 def op9_vantage_point_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from playlake.llm.simhash import near_duplicates, to_hex
 
@@ -77,6 +83,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_sum_of_squares_packing": op4_sum_of_squares_packing,
     "op5_virtual_slots": op5_virtual_slots,
     "op6_content_archive": op6_content_archive,
+    "op8_pca_tiled_dedup": op8_pca_tiled_dedup,
     "op9_vantage_point_simhash": op9_vantage_point_simhash,
     "op10_pair_index_bpe": op10_pair_index_bpe,
 }
@@ -131,8 +138,31 @@ select page_id, n as payload_bytes, sha256(payload) as payload_digest,
 from ranked
 """
 
+OP8_SQL = """
+with recursive vectors as (
+  select vec_id, label, cast(embedding as double[]) as e from embeddings),
+sound as (
+  select * from vectors
+  where label is not null and e is not null and len(e) > 0
+    and len(list_filter(e, lambda x: x is null or isnan(x) or isinf(x))) = 0
+    and list_aggregate(list_transform(e, lambda x: abs(x)), 'max') > 0),
+links as (
+  select a.vec_id as u, b.vec_id as v
+  from sound a join sound b on a.label = b.label and a.vec_id <> b.vec_id and len(a.e) = len(b.e)
+  where list_cosine_similarity(a.e, b.e) >= 0.93),
+reached as (
+  select vec_id, vec_id as to_id from vectors
+  union
+  select r.vec_id, l.v from reached r join links l on r.to_id = l.u),
+roots as (select vec_id, min(to_id) as component_id from reached group by vec_id),
+degrees as (select u as vec_id, count(*) as n from links group by u)
+select r.vec_id, coalesce(d.n, 0) as n_links, r.component_id, r.vec_id = r.component_id as kept
+from roots r left join degrees d using (vec_id)
+"""
+
 LLM_ORACLE_SQL: dict[str, str] = {
     "op1_difference_cover_dedup": OP1_SQL,
     "op3_extendible_hash_dedup": OP3_SQL,
     "op6_content_archive": OP6_SQL,
+    "op8_pca_tiled_dedup": OP8_SQL,
 }
