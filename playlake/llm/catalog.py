@@ -53,6 +53,15 @@ def op6_content_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_archive(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op7_bitmask_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from playlake.llm.langid import held_out, learn, predict
+
+    docs = table(spark, sf_dir, "documents")
+    filters = learn(docs.filter(~held_out()).select("text", "lang"))
+    found = predict(docs.select("text", "doc_id", held_out().alias("held_out")), filters, ["doc_id", "held_out"])
+    return found.select("carried.doc_id", "carried.held_out", "lang_pred", "score")
+
+
 def op8_pca_tiled_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from playlake.llm.embedding_dedup import link_vectors
 
@@ -83,6 +92,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_sum_of_squares_packing": op4_sum_of_squares_packing,
     "op5_virtual_slots": op5_virtual_slots,
     "op6_content_archive": op6_content_archive,
+    "op7_bitmask_language_id": op7_bitmask_language_id,
     "op8_pca_tiled_dedup": op8_pca_tiled_dedup,
     "op9_vantage_point_simhash": op9_vantage_point_simhash,
     "op10_pair_index_bpe": op10_pair_index_bpe,
