@@ -21,8 +21,9 @@ however often it has it, so a passage that a third of all documents share costs
 entry a group, and no pairs of copies are formed.  The grouped text is exchanged once and
 read three times (Spark reuses the exchange).
 
-Edge cases: a null text has no words; a null doc_id ranks last; rows that share a doc_id
-are separate documents, ordered by text (equal rows: any order); texts of fewer words than a window
+Edge cases: a null text has no words; a null doc_id ranks last, in any order among null ones (one
+of them keeps a window they share); rows that share another doc_id are separate documents, ordered
+by text; texts of fewer words than a window
 are kept whole; an empty table gives no rows; columns named in ``carry`` are passed through under
 their names.  Words and windows are compared by 64-bit and 96-bit hashes of their bytes.
 """
