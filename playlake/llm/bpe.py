@@ -26,21 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playlake.llm.pretoken import split
-
-
-def _byte_symbols() -> list[str]:
-    """The printable stand-in of each byte in byte-level vocabularies: visible Latin-1
-    characters stand for themselves, the others get U+0100 on, in order."""
-    visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    symbols, extra = [], 0x100
-    for b in range(256):
-        if b in visible:
-            symbols.append(chr(b))
-        else:
-            symbols.append(chr(extra))
-            extra += 1
-    return symbols
+from playlake.llm.pretoken import byte_symbols, split
 
 
 class PairTable:
@@ -56,7 +42,7 @@ class PairTable:
                 or model.get("ignore_merges") or model.get("dropout")):
             raise ValueError("a plain byte-level BPE file is needed")
         vocab = model["vocab"]
-        symbols = _byte_symbols()
+        symbols = byte_symbols()
         self.byte_ids = np.array([vocab[s] for s in symbols], np.int64)
         pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
         left = np.array([vocab[a] for a, _ in pairs], np.int64)

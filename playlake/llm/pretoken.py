@@ -85,15 +85,26 @@ def split(text: str) -> list[str]:
 def _contractions(text: str, n: int, starts: np.ndarray, quotes: np.ndarray) -> None:
     """Cut contractions off where a quote begins a pre-token."""
     for q in quotes[starts[quotes]].tolist():
-        if text[q + 1:q + 2] in ("s", "t", "m", "d") and q + 1 < n:
+        if text[q + 1:q + 2] in ("s", "t", "m", "d"):
             end = q + 2
         elif text[q + 1:q + 3] in ("re", "ve", "ll"):
             end = q + 3
         else:
             continue
         starts[q + 1:end] = False
-        if end < n and text[end] != "'":
-            # what follows the contraction begins anew, also inside a run of letters
-            starts[end] = True
-        elif end < n:
+        if end < n:                                  # what follows begins anew, also inside a run of letters
             starts[end] = True
+
+
+def byte_symbols() -> list[str]:
+    """The printable stand-in of each byte in byte-level vocabularies: visible Latin-1
+    characters stand for themselves, the others get U+0100 on, in order."""
+    visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    symbols, extra = [], 0x100
+    for b in range(256):
+        if b in visible:
+            symbols.append(chr(b))
+        else:
+            symbols.append(chr(extra))
+            extra += 1
+    return symbols

@@ -14,26 +14,30 @@ import os
 
 import numpy as np
 
-from playlake.llm.pretoken import split
+from playlake.llm.pretoken import byte_symbols, split
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-#: pre-tokens kept by a worker, and the longest one kept (characters)
-CACHE_ENTRIES = 300_000
+#: pre-tokens in a generation of a worker's cache (two are held), and the longest one kept (characters)
+CACHE_ENTRIES = 400_000
 CACHE_CHARS = 48
 
 
 class _Ids(dict):
-    """pre-token -> its ids as little-endian unsigned 32-bit integers."""
+    """pre-token -> its ids as little-endian unsigned 32-bit integers; the generation before is kept too."""
 
     def __init__(self, encode):
         super().__init__()
         self.encode = encode
+        self.before: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
-        ids = self.encode(word)
+        ids = self.before.get(word)
+        if ids is None:
+            ids = self.encode(word)
         if len(word) <= CACHE_CHARS:
             if len(self) >= CACHE_ENTRIES:
+                self.before = dict(self)
                 self.clear()
             self[word] = ids
         return ids
@@ -55,11 +59,22 @@ class Encoder:
         pre = spec.get("pre_tokenizer") or {}
         self.by_word = (spec.get("normalizer") is None and pre.get("type") == "ByteLevel"
                         and pre.get("use_regex", True) and not pre.get("add_prefix_space", True))
-        self.cache = _Ids(self.whole)
+        self.model = self.tokenizer.model
+        self.symbols = {b: s for b, s in enumerate(byte_symbols())}
+        self.blank = self.symbols[0x20]
+        self.cache = _Ids(self.word)
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def word(self, word: str) -> bytes:
+        """Ids of one pre-token, from the library's model: it reads the printable stand-ins of the bytes."""
+        if word.isascii() and word.isprintable():
+            symbols = word.replace(" ", self.blank)
+        else:
+            symbols = word.encode("utf-8").decode("latin-1").translate(self.symbols)
+        return np.array([t.id for t in self.model.tokenize(symbols)], "<u4").tobytes()
+
     def ids(self, text: str | None) -> bytes:
         """Null counts as empty."""
         if not text:
