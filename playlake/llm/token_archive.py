@@ -17,7 +17,7 @@ sorts first; rows that share a doc_id are all kept, ordered by their frames; an
 table gives an archive without shards; other columns are not read.
 
 The dictionary is fitted on a bounded sample: at most ``sample_docs`` documents of at most
-``sample_chars`` characters, those with the smallest hash of doc_id and text.  It changes
+``sample_chars`` characters, from those with the smallest hashes of doc_id.  It changes
 sizes, never contents.
 """
 
@@ -50,12 +50,33 @@ _MANIFEST = ("shard int, part int, file string, first_doc_id bigint, last_doc_id
 # ---------------------------------------------------------------- writing
 
 def _sample(docs: DataFrame, tokenizer: str, sample_docs: int, sample_chars: int, width: int) -> list[bytes]:
-    rows = (docs.select("text").filter(F.length("text").between(1, sample_chars))
-            .orderBy(F.xxhash64("text"), "text").limit(sample_docs).collect())
+    # ids alone are ordered; only the chosen rows' texts leave their task
+    hashes = docs.select(F.xxhash64("doc_id").alias("h")).orderBy("h").limit(sample_docs)
+    cutoff = hashes.agg(F.max("h")).first()[0]
+    if cutoff is None:
+        return []
+    rows = (docs.filter((F.xxhash64("doc_id") <= cutoff) & F.length("text").between(1, sample_chars))
+            .select("text").limit(sample_docs).collect())
     enc = encoder(tokenizer)
     return [np.frombuffer(enc.ids(r[0]), "<u4").astype(f"<u{width}").tobytes() for r in rows]
 
 
+def _bounds(docs: DataFrame, shard_chars: int) -> np.ndarray:
+    """doc_ids where the next shard begins: quantiles, so many that a shard has about ``shard_chars``."""
+    def quantiles(n: int):
+        return F.percentile_approx("doc_id", [i / n for i in range(1, n)], 20 * n)
+
+    grid = 1024
+    chars, found = docs.agg(F.sum(F.length("text")), quantiles(grid)).first()
+    shards = max(1, -(-(chars or 0) // shard_chars))
+    if shards > grid // 4:
+        found = docs.agg(quantiles(shards)).first()[0]
+        picked = found or []
+    else:
+        picked = [found[i * grid // shards - 1] for i in range(1, shards)] if found else []
+    return np.array(sorted(set(picked)), np.int64)
+
+
 def train_dictionary(samples: list[bytes], size: int) -> bytes:
     """A zstandard dictionary; with too few samples their plain bytes serve as one."""
     if not samples:
@@ -159,12 +180,8 @@ def write_archive(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, s
     with fs.open_output_stream(f"{folder}/archive.json") as out:
         out.write(json.dumps({"width": width, "end_id": end_id, "dictionary_sha256": digest.hex()}).encode())
 
-    chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
-    n_shards = max(1, -(-chars // shard_chars))
-    cuts = [i / n_shards for i in range(1, n_shards)]
-    found = docs.agg(F.percentile_approx("doc_id", cuts, 10 * n_shards + 1000)).first()[0] if cuts else []
-    bounds = np.array(sorted(set(found or [])), np.int64)
-
+    bounds = _bounds(docs, shard_chars)
+    n_shards = bounds.size + 1
     frames = docs.mapInArrow(lambda it: _encode(it, tokenizer, end_id, width, dictionary, bounds, level), _FRAMES)
     (frames.repartition(n_shards, "shard").sortWithinPartitions("shard", "doc_id", "n_tokens", "frame")
      .mapInArrow(lambda it: _write(it, path, width, digest, part_bytes), _MANIFEST)
