@@ -49,9 +49,12 @@ def evolve_schema(target: DataFrame, source: DataFrame, policy: str = "ignore")
 
 
 def upsert(target: DataFrame | None, source: DataFrame, keys: Sequence[str], policy: str = "ignore",
-           check_duplicates: bool = False) -> DataFrame:
+           check_duplicates: bool = False, replace_on: Sequence[str] | None = None) -> DataFrame:
     """MERGE ``source`` into ``target`` on ``keys`` (update matched, insert new).
 
+    With ``replace_on`` every target row goes that agrees with a source row on those columns,
+    so a source that holds all rows of an entity leaves no stale ones.
+
     With ``check_duplicates`` a (distributed) pre-check raises
     ``DuplicateMatchError`` when a target row is matched by two source rows.
     """
@@ -64,5 +67,7 @@ def upsert(target: DataFrame | None, source: DataFrame, keys: Sequence[str], pol
                      .join(target.select(*keys), on=keys, how="left_semi"))
         if dup.limit(1).count():
             raise DuplicateMatchError(f"source has several rows for one target key {keys}")
-    kept = target.join(source.select(*keys).dropna().distinct(), on=keys, how="left_anti")
+    gone = list(replace_on or keys)
+    kept = target.join(source.select(*gone).dropna().distinct(), on=gone, how="left_anti")
+    kept = kept.select(*target.columns)
     return kept.unionByName(source)

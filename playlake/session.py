@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -29,7 +30,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if master and master.startswith("local"):
-        conf["spark.driver.memory"] = os.environ.get("PLAYLAKE_DRIVER_MEMORY", "16g")
+        conf["spark.driver.memory"] = os.environ.get("PLAYLAKE_DRIVER_MEMORY", "8g")
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
@@ -40,8 +41,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster (spark.checkpoint.dir).
 
-    Only when the setting is absent (local tests) is a scratch folder created and
-    registered, so that jobs can cut lineage with ``checkpoint()``.
+    Only when the setting is absent in a local session (tests) is a scratch folder created
+    and registered.  On a cluster a machine-local folder would lose rows, so there the
+    setting must be given.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     sc = None
@@ -52,6 +54,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not d and sc is not None:
         d = sc.getCheckpointDir()
     if not d:
+        master = spark.conf.get("spark.master", "local")
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all machines of {master} share")
         d = tempfile.mkdtemp(prefix="playlake-ckpt-", dir=os.environ.get("PLAYLAKE_SCRATCH", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", d)
     if sc is not None:

@@ -6,10 +6,12 @@ day-partitioned Parquet table, rewriting only the day partitions the batch touch
 
 1. clean + de-duplicate the batch (J1, latest copy per event id; the payload hash
    that breaks timestamp ties is kept as a column so later batches apply the same rule);
-2. read the touched day partitions of the table (partition pruning), union them with
-   the batch and keep the latest copy per event id (partial aggregation);
-3. write the merged partitions to a staging folder under ``spark.checkpoint.dir``, then
-   overwrite exactly those partitions of the table (dynamic partition overwrite).
+2. find the touched days: those of the batch and those where the table holds an older copy
+   of one of its events (a copy may cross midnight, or have no time); read them (partition
+   pruning), union them with the batch and keep the latest copy per event id (partial
+   aggregation);
+3. write the merged partitions to a staging folder under ``spark.checkpoint.dir``, overwrite
+   exactly those partitions of the table, and remove days that lost all their rows.
 
 The stream's own checkpoint makes each micro-batch replayable after a failure; step 3
 is idempotent for a replayed batch.
@@ -18,8 +20,6 @@ is idempotent for a replayed batch.
 from __future__ import annotations
 
 import datetime as dt
-import os
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,36 +28,29 @@ from pyspark.sql.streaming import StreamingQuery
 from playlake.config import RunWindow
 from playlake.operators.topk import top1_per_key
 from playlake.plans.events import PAYLOAD_MD5, STG_EVENTS_COLUMNS, stg_events
-from playlake.session import checkpoint_dir
+from playlake.sources.sinks import (_exists, _on_days, materialize, read_table, replace_days, scratch_scope,
+                                    touched_days)
 
 RAW_EVENT_SCHEMA = ("publish_time timestamp_ntz, subscription_name string, message_id decimal(38,9), "
                     "attributes string, data string")
 DAY = "event_day"
 
 
-def _table_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p)
-
-
 def merge_event_batch(batch: DataFrame, seed: DataFrame, table_path: str, window: RunWindow) -> None:
     spark = batch.sparkSession
-    cleaned = stg_events(batch, seed, window, keep_tie=True).withColumn(DAY, F.to_date("event_timestamp"))
-    days = [r[0] for r in cleaned.select(DAY).distinct().collect()]  # bounded: days in one batch
-    if not days:
-        return
-    merged = cleaned
-    if _table_exists(spark, table_path):
-        old = spark.read.parquet(table_path).filter(F.col(DAY).isin(days))
-        merged = old.select(*STG_EVENTS_COLUMNS, PAYLOAD_MD5, DAY).unionByName(cleaned)
-    # the batch job's rule across batches: newest event time, ties by payload hash
-    merged = top1_per_key(merged, ["event_id"], ["event_timestamp", PAYLOAD_MD5], descending=True)
-    staging = os.path.join(checkpoint_dir(spark), "staging", f"events-{uuid.uuid4().hex}")
-    merged.write.mode("overwrite").partitionBy(DAY).parquet(staging)
-    (spark.read.parquet(staging).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-          .partitionBy(DAY).parquet(table_path))
+    with scratch_scope(spark):
+        cleaned = stg_events(batch, seed, window, keep_tie=True).withColumn(DAY, F.to_date("event_timestamp"))
+        cleaned = materialize(cleaned, "event-batch")
+        days, merged = [r[0] for r in cleaned.select(DAY).distinct().collect()], cleaned
+        if not days:
+            return
+        if _exists(spark, table_path):
+            table = read_table(spark, table_path, DAY)
+            days = touched_days(table, cleaned, ["event_id"], DAY, F.col(DAY))
+            merged = _on_days(table, DAY, days).select(*STG_EVENTS_COLUMNS, PAYLOAD_MD5, DAY).unionByName(cleaned)
+        # the batch job's rule across batches: newest event time, ties by payload hash
+        merged = top1_per_key(merged, ["event_id"], ["event_timestamp", PAYLOAD_MD5], descending=True)
+        replace_days(materialize(merged, "events"), table_path, DAY, days)
 
 
 def start_event_ingest(spark: SparkSession, source_path: str, table_path: str, seed: DataFrame,

@@ -27,3 +27,37 @@ def test_stream_ingest_equals_batch(spark):
     batch = stg_events(raw, seed, WINDOW)
     assert streamed.count() == batch.count()
     assert streamed.exceptAll(batch.select(*streamed.columns)).count() == 0
+
+
+def test_copies_across_midnight_and_without_time(spark, tmp_path):
+    import datetime as dt
+    import json
+
+    from playlake.config import RunWindow
+    from playlake.plans.events import stg_events
+    from playlake.streaming.ingest import RAW_EVENT_SCHEMA, merge_event_batch
+
+    def log(*events):
+        rows = []
+        for event_id, when, value in events:
+            data = {"_event_id": event_id, "event_name": "App Opened", "properties": {"device_id": "d", "city": value}}
+            data |= {"event_id": event_id}
+            if when is not None:
+                data["timestamp"] = int(when.replace(tzinfo=dt.timezone.utc).timestamp() * 1000)
+            rows.append((dt.datetime(2024, 1, 11), "s", None, "{}", json.dumps(data)))
+        return spark.createDataFrame(rows, RAW_EVENT_SCHEMA)
+
+    midnight = dt.datetime(2024, 1, 11)
+    half = dt.timedelta(milliseconds=500)
+    batches = [log(("e1", midnight - half, "before"), ("e2", None, "no time"), ("e3", midnight, "x")),
+               log(("e1", midnight + half, "after"), ("e4", None, "later")),
+               log(("e2", midnight, "timed"), ("e1", midnight - half, "late copy"))]
+    seed, window = event_sources(spark), RunWindow(dt.date(2024, 1, 1), dt.date(2024, 1, 31), dt.datetime(2024, 1, 31))
+    path = str(tmp_path / "events")
+    for b in batches:
+        merge_event_batch(b, seed, path, window)
+    got = spark.read.parquet(path).select("event_id", "event_timestamp", "city").collect()
+    whole = batches[0].unionByName(batches[1]).unionByName(batches[2])
+    want = stg_events(whole, seed, window).select("event_id", "event_timestamp", "city").collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(map(tuple, want), key=repr)
+    assert len(got) == 4
