@@ -94,7 +94,8 @@ def ads(q) -> None:
   FROM ev_base WHERE event_type = 'error'""")
     q.add("gadgroups", """
   SELECT CAST(k % 3 AS BIGINT) AS ad_group_id,
-         'a' || (k % 3) || CASE WHEN day(ts) < 25 THEN '_old' ELSE '' END AS ad_group_name, ts AS partition_time
+         'a' || (k % 3) || CASE WHEN day(ts) < 25 THEN '_old' ELSE '' END AS ad_group_name, ts AS partition_time,
+         CASE WHEN k % 11 <> 0 THEN CAST(k % 6 AS BIGINT) END AS campaign_id
   FROM ev_base WHERE event_type = 'view'""")
     q.add("gcampaigns", """
   SELECT CAST(k % 5 AS BIGINT) AS campaign_id,

@@ -18,9 +18,11 @@ def _sql_open_end(builder, *args, **kw) -> str:
     return q.sql(f"SELECT * REPLACE (CAST(valid_to AS VARCHAR) AS valid_to) FROM {name}")
 
 
+STAGING = ("stg_events", "stg_sessions", "stg_attribution", "stg_devices")
+MARTS = ("fct_sessions", "fct_events", "dim_users", "dim_devices_scd", "analytics_events_table", "p_ads_AdGroup")
+
+
 def oracle_sql() -> dict[str, str]:
-    from playlake.plans.catalog import MART_MODELS, STAGING_EXPECTATIONS
-    from playlake.plans.expectations import for_models
     return {
         "stg_events": _sql(jobs.stg_events),
         "identity_map": _sql(jobs.identity_map),
@@ -50,7 +52,11 @@ def oracle_sql() -> dict[str, str]:
         "int_daily_installs": _sql(jobs.int_daily_installs),
         "fct_user_acquisition_daily": _sql(jobs.fct_user_acquisition_daily),
         "user_activity": _sql(jobs.user_activity),
-        "quality_report": _sql(jobs.quality_report, STAGING_EXPECTATIONS),
-        "quality_report_marts": _sql(jobs.quality_report, for_models(MART_MODELS), "qr_marts"),
+        "quality_report": _sql(jobs.quality_report, STAGING),
+        "quality_report_marts": _sql(jobs.quality_report, MARTS, "qr_marts"),
         "upsert_schema_sync": _sql(jobs.upsert_schema_sync),
+        "merge_null_day": _sql(jobs.merge_null_day),
+        "merge_schema_evolution": _sql(jobs.merge_schema_evolution),
+        "merge_two_runs_fct_events": _sql(jobs.fct_events_incremental),
+        "interval_edge_cases": _sql(jobs.interval_edge_cases),
     }

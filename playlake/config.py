@@ -31,6 +31,10 @@ class Settings:
     # Width of the time buckets that split one device's timeline into
     # independently sorted pieces (skew guard for per-device windows).
     timeline_bucket_hours: int = 24
+    # Device-user periods: let rows that repeat a NULL user share one period (Q2)
+    collapse_null_runs: bool = False
+    # Device-user merge: replace all periods of the devices in a run, not only equal keys (Q3)
+    replace_keys: bool = False
 
 
 @dataclass(frozen=True)

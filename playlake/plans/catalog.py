@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playlake.config import RunWindow, Settings
+from playlake.operators.intervals import point_in_interval_join
 from playlake.operators.quality import quality_report
 from playlake.plans.expectations import STAGING_MODELS, for_models
 from playlake.operators.upsert import upsert
@@ -22,8 +23,9 @@ from playlake.plans import events as J1
 from playlake.plans import sessions as J2
 from playlake.sources import fixtures as fx
 from playlake.sources.seed import event_sources
-from playlake.sources.sinks import materialize
+from playlake.sources.sinks import materialize, merge_into_table, read_table, scratch_path
 
+#: the driver's events all lie in January 2024; other data needs its own window
 WINDOW = RunWindow(dt.date(2024, 1, 1), dt.date(2024, 1, 31), dt.datetime(2024, 1, 31))
 SPLIT = dt.datetime(2024, 1, 20)
 RUN_TS = {"p1": dt.datetime(2024, 1, 20), "p2": dt.datetime(2024, 1, 31), "": dt.datetime(2024, 1, 31)}
@@ -274,15 +276,20 @@ def q_quality_report(spark, sf):
     return quality_report(spark, models, STAGING_EXPECTATIONS)
 
 
-MART_MODELS = ("fct_sessions", "fct_events", "dim_users", "dim_devices_scd", "analytics_events_table")
+MART_MODELS = ("fct_sessions", "fct_events", "dim_users", "dim_devices_scd", "analytics_events_table",
+               "p_ads_AdGroup")
 
 
 def q_quality_report_marts(spark, sf):
     """The fact/dimension/source expectations; declared columns a model does not
     output (e.g. platform of the device-version dimension) report NULL."""
     i = Inputs(spark, sf)
-    models = {"fct_sessions": i.fct_sessions(), "fct_events": i.fct_events(), "dim_users": i.dim_users(),
-              "dim_devices_scd": i.dim_devices_scd(), "analytics_events_table": fx.raw_event_log(i.events())}
+    # several passes read these two, and the second builds on the first: written once
+    sessions = materialize(i.fct_sessions(), "fct_sessions")
+    events = materialize(facts.fct_events(i.stg_events(), sessions), "fct_events")
+    models = {"fct_sessions": sessions, "fct_events": events, "dim_users": i.dim_users(),
+              "dim_devices_scd": i.dim_devices_scd(), "analytics_events_table": fx.raw_event_log(i.events()),
+              "p_ads_AdGroup": fx.google_ad_groups(i.events())}
     return quality_report(spark, models, for_models(MART_MODELS))
 
 
@@ -294,6 +301,71 @@ def q_upsert_schema_sync(spark, sf):
     return upsert(target, p2.stg_events(), ["event_id"], policy="sync_all_columns")
 
 
+def q_merge_null_day(spark, sf):
+    """Two deliveries merged into a stored day-partitioned table and read back.
+
+    Every seventh event has no time (the NULL day); the second delivery moves rows between days."""
+    ev = fx.read_events(spark, sf)
+    timed = F.col("event_id") % 7 != 0
+    first = ev.filter("event_id % 2 = 0").select(F.col("event_id").alias("k"), F.when(timed, F.col("ts")).alias("ts"),
+                                                 F.lit("first").alias("v"))
+    later = F.col("ts") + F.make_dt_interval(F.col("event_id") % 4)
+    second = ev.filter("event_id % 3 = 0").select(F.col("event_id").alias("k"), F.when(timed, later).alias("ts"),
+                                                  F.lit("second").alias("v"))
+    path = scratch_path(spark, "merge_null_day")
+    for delivery in (first, second):
+        merge_into_table(delivery, path, ["k"], partition_day_of="ts")
+    return read_table(spark, path, "ts_day").drop("ts_day")
+
+
+def q_merge_schema_evolution(spark, sf):
+    """A delivery for the last days with a new and without an old column, under both policies."""
+    ev = fx.read_events(spark, sf)
+    first = ev.filter("event_id % 2 = 0").select(F.col("event_id").alias("k"), "ts", F.col("event_type").alias("old_col"))
+    last_days = (F.col("event_id") % 3 == 0) & (F.col("ts") >= F.lit("2024-01-25 00:00:00").cast("timestamp_ntz"))
+    second = ev.filter(last_days).select(F.col("event_id").alias("k"), "ts", F.col("value").alias("new_col"))
+    found = []
+    for policy in ("append_new_columns", "sync_all_columns"):
+        path = scratch_path(spark, "merge_schema")
+        merge_into_table(first, path, ["k"], partition_day_of="ts")
+        merge_into_table(second, path, ["k"], partition_day_of="ts", policy=policy)
+        found.append(read_table(spark, path, "ts_day").drop("ts_day").withColumn("policy", F.lit(policy)))
+    return found[0].unionByName(found[1], allowMissingColumns=True).select("policy", "k", "ts", "old_col", "new_col")
+
+
+def q_merge_two_runs_fct_events(spark, sf):
+    """Two runs of the event fact through the stored merge, read back."""
+    path = scratch_path(spark, "fct_events")
+    for part in _parts(spark, sf):
+        target = read_table(spark, path, "event_timestamp_day").drop("event_timestamp_day") if part.part == "p2" else None
+        run = facts.fct_events(part.stg_events(), part.fct_sessions(), target, merge=False)
+        merge_into_table(materialize(run, "fct_events_src"), path, ["event_id"], partition_day_of="event_timestamp")
+    return read_table(spark, path, "event_timestamp_day").drop("event_timestamp_day")
+
+
+def q_interval_edge_cases(spark, sf):
+    """Points up to 2099 in open, century-long, overlapping and backwards periods; points without one stay."""
+    s = Inputs(spark, sf).stg_sessions(10)
+    at = F.when(F.col("event_count") % 5 == 0, F.col("session_start_ts") + F.expr("INTERVAL 75 YEAR")).otherwise(F.col("session_start_ts"))
+    points = s.select("session_id", "device_id", at.alias("at"))
+
+    def periods(kind, opens, closes, rows):
+        return rows.select(F.col("device_id").alias("period_device"), F.lit(kind).alias("kind"), opens.alias("opens"), closes.alias("closes"))
+
+    def moment(text):
+        return F.lit(text).cast("timestamp_ntz")
+    per = s.groupBy("device_id").agg(F.min("session_start_ts").alias("a"), F.max("session_start_ts").alias("b"),
+                                     F.max("session_end_ts").alias("c"))
+    all_periods = (periods("open", F.col("a"), moment("9999-12-31 23:59:59"), per)
+                   .unionByName(periods("century", moment("1950-06-01 00:00:00"), F.col("b"), per))
+                   .unionByName(periods("session", F.col("session_start_ts"), F.col("session_end_ts"), s))
+                   .unionByName(periods("backwards", F.col("c"), F.col("a"), per)))
+    met = point_in_interval_join(points, all_periods, "device_id", "period_device", "at", "opens", "closes", closed_end=True)
+    return met.groupBy("session_id", "at").agg(
+        F.count("kind").alias("periods"), *[F.count(F.when(F.col("kind") == k, 1)).alias(f"{n}_periods")
+                                            for n, k in (("open", "open"), ("long", "century"), ("session", "session"))])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stg_events": q_stg_events,
     "identity_map": q_identity_map,
@@ -326,4 +398,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "quality_report": q_quality_report,
     "quality_report_marts": q_quality_report_marts,
     "upsert_schema_sync": q_upsert_schema_sync,
+    "merge_null_day": q_merge_null_day,
+    "merge_schema_evolution": q_merge_schema_evolution,
+    "merge_two_runs_fct_events": q_merge_two_runs_fct_events,
+    "interval_edge_cases": q_interval_edge_cases,
 }

@@ -31,33 +31,35 @@ def scan_event_log(raw: DataFrame, window: RunWindow) -> DataFrame:
     return raw.filter((pt >= start_of_day(window.start)) & (pt < start_of_day(window.end)))
 
 
-def extract_events(raw: DataFrame) -> DataFrame:
-    """JSON payload -> typed event columns.
+def extract_ids(raw: DataFrame) -> DataFrame:
+    """event_id, event_name, event_timestamp, event_properties (JSON text) and the payload's hash of each log row.
 
-    Two ``from_json`` passes (document, then its ``properties`` text) read all
-    fields; the exact VARIANT path runs only for values that look like objects
-    or arrays, and the hash fallback for ``event_id`` parses only rows without
-    an id.
+    One ``from_json`` pass; the exact VARIANT path runs only for an id or name that looks
+    like an object or array, and the hash fallback for ``event_id`` parses only rows
+    without an id.
     """
     t = raw.select(json_fields(F.col("data"), TOP_FIELDS).alias("_t"), F.col("data").alias("_payload"))
     ids = [F.col("_t.event_id"), F.col("_t.event_name")]
-    # the document is parsed to a VARIANT only where needed: a missing id (hash
-    # fallback) or an id/name that looks like an object or array
     t = t.withColumn("_dv", F.when(F.col("_t.event_id").isNull() | any_suspicious(ids), parse(F.col("_payload"))))
     t = t.select("*", *[suspicious_node(F.col(f"_t.{n}"), F.col("_dv"), n).alias(f"_n_{n}")
                         for n in ("event_id", "event_name")])
-    t = t.select(
-        resolve_scalar(F.col("_t.event_id"), F.col("_n_event_id")).alias("_event_id"),
-        resolve_scalar(F.col("_t.event_name"), F.col("_n_event_name")).alias("_event_name"),
-        F.sha1(F.to_json(F.col("_dv"))).alias("_doc_hash"),
-        F.col("_t.timestamp").alias("_timestamp"),
+    event_id = F.coalesce(resolve_scalar(F.col("_t.event_id"), F.col("_n_event_id")), F.sha1(F.to_json(F.col("_dv"))))
+    return t.select(
+        timestamp_from_millis(F.col("_t.timestamp").cast("bigint")).alias("event_timestamp"),
+        resolve_scalar(F.col("_t.event_name"), F.col("_n_event_name")).alias("event_name"),
+        event_id.alias("event_id"),
         F.col("_t.properties").alias("event_properties"),
-        json_fields(F.col("_t.properties"), PROPERTY_FIELDS).alias("_p"),
         F.md5(F.col("_payload")).alias("_tie"))
+
+
+def extract_properties(ids: DataFrame) -> DataFrame:
+    """The typed property columns of ``ids`` (rows of ``extract_ids``): one ``from_json`` pass over the
+    properties, and the VARIANT path only for values that look like objects or arrays."""
+    rest = ["event_timestamp", "event_name", "event_id", "event_properties", "_tie"]
+    t = ids.select(*rest, json_fields(F.col("event_properties"), PROPERTY_FIELDS).alias("_p"))
     praw = [F.col(f"_p.{n}") for n in PROPERTY_FIELDS]
     top = t.withColumn("_pv", F.when(any_suspicious(praw), parse(F.col("event_properties"))))
     # each property is resolved once (a projection of its own), then cleaned
-    rest = ["_event_id", "_event_name", "_doc_hash", "_timestamp", "event_properties", "_tie"]
     top = top.select("_p", *rest, *[suspicious_node(F.col(f"_p.{n}"), F.col("_pv"), n).alias(f"_n_{n}")
                                     for n in PROPERTY_FIELDS])
     top = top.select(*[resolve_scalar(F.col(f"_p.{n}"), F.col(f"_n_{n}")).alias(f"_r_{n}") for n in PROPERTY_FIELDS],
@@ -69,9 +71,7 @@ def extract_events(raw: DataFrame) -> DataFrame:
     raw_platform = prop("platform")
     ftue_territory = F.when(prop("ftue_step") == "territory", prop("ftue_value")).otherwise(prop("territory"))
     return top.select(
-        timestamp_from_millis(F.col("_timestamp").cast("bigint")).alias("event_timestamp"),
-        F.col("_event_name").alias("event_name"),
-        F.coalesce(F.col("_event_id"), F.col("_doc_hash")).alias("event_id"),
+        "event_timestamp", "event_name", "event_id",
         clean_text(prop("user_id")).alias("user_id"),
         clean_text(prop("device_id")).alias("device_id"),
         F.nullif(F.trim(F.lower(raw_platform)), F.lit("")).alias("platform"),
@@ -88,17 +88,23 @@ def extract_events(raw: DataFrame) -> DataFrame:
     )
 
 
+def extract_events(raw: DataFrame) -> DataFrame:
+    """JSON payload -> typed event columns, a row for each log row."""
+    return extract_properties(extract_ids(raw))
+
+
 def stg_events(raw: DataFrame, seed: DataFrame, window: RunWindow, keep_tie: bool = False) -> DataFrame:
     """Latest copy of each event in the window, with its event source.
 
     De-duplication keeps the newest ``event_timestamp`` per ``event_id`` (ties:
     the larger MD5 of the payload, so the payload itself never enters the
-    exchange) as a partial aggregation.  The 35-row seed is
-    broadcast; an unknown event name gets a NULL source.
+    exchange) as a partial aggregation.  It comes before the properties are extracted, so the
+    exchange carries their JSON text only, and copies are not parsed.  An
+    unknown event name gets a NULL source.
     """
-    ev = extract_events(scan_event_log(raw, window))
-    latest = top1_per_key(ev, ["event_id"], ["event_timestamp", "_tie"], descending=True)
-    out = latest.join(F.broadcast(seed.select("event_name", "event_source")), on="event_name", how="left")
+    ids = extract_ids(scan_event_log(raw, window))
+    latest = extract_properties(top1_per_key(ids, ["event_id"], ["event_timestamp", "_tie"], descending=True))
+    out = latest.join(seed.select("event_name", "event_source"), on="event_name", how="left")
     if keep_tie:  # incremental consumers re-apply the same tie-break later
         return out.select(*STG_EVENTS_COLUMNS, F.col("_tie").alias(PAYLOAD_MD5))
     return out.select(*STG_EVENTS_COLUMNS)

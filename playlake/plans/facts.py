@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from playlake.functions import first_value_by, ntz
 from playlake.operators.intervals import point_in_interval_join
+from playlake.operators.joins import left_join_known
 from playlake.operators.topk import top1_per_key
 from playlake.operators.upsert import upsert
 
@@ -30,9 +31,9 @@ TRANSIENT_PREFIX = "device:"
 
 def fct_sessions(sessions: DataFrame, users: DataFrame, devices_scd: DataFrame, devices: DataFrame,
                  target: DataFrame | None = None) -> DataFrame:
-    """(with ``target``: the table after the MERGE; without: the MERGE source)"""
     """Sessions enriched from the user dim, the device version valid at the
-    session start (half-open period) and the device dim."""
+    session start (half-open period) and the device dim.  With ``target``: the table
+    after the MERGE; without: the MERGE source."""
     u = users.select(F.col("user_id").alias("_u"), *[F.col(c).alias(f"_u_{c}") for c in
                                                        ("country", "city", "language", "territory")])
     scd = devices_scd.select(F.col("device_id").alias("_sd"), F.col("valid_from").alias("_vf"),
@@ -40,9 +41,10 @@ def fct_sessions(sessions: DataFrame, users: DataFrame, devices_scd: DataFrame,
                              F.col("os_version").alias("_s_os"))
     d = devices.select(F.col("device_id").alias("_dd"), F.col("platform").alias("_d_platform"),
                        F.col("device_model").alias("_d_model"))
-    j = sessions.join(u, F.col("user_id") == F.col("_u"), "left")
+    # sessions without a user match no one: they bypass the join and don't meet in one task
+    j = left_join_known(sessions, u, "user_id", "_u")
     j = point_in_interval_join(j, scd, "device_id", "_sd", "session_start_ts", "_vf", "_vt", closed_end=False)
-    j = j.join(d, F.col("device_id") == F.col("_dd"), "left")
+    j = left_join_known(j, d, "device_id", "_dd")
     out = j.select("session_id", "user_id", "device_id", "session_start_ts", "session_end_ts",
                    "session_length_seconds", "event_count",
                    F.coalesce("platform", "_d_platform").alias("platform"),
@@ -113,18 +115,18 @@ def user_activity(events: DataFrame, users: DataFrame, as_of: dt.datetime) -> Da
     """J19 (disabled in the reference): per-user activity; day counts are whole
     elapsed days.
 
-    Two partial aggregations instead of two DISTINCT aggregates: first per
-    (user, day), then per user over at most one row per calendar day, so a user
-    with a third of all events never lands in one task.  ``total_events`` counts
-    event ids, which are unique in the cleaned event table (J1 de-duplicates by id),
-    so it equals the distinct count."""
-    e = events.filter(F.col("user_id").isNotNull())
-    daily = e.groupBy("user_id", F.to_date("event_timestamp").alias("_day")).agg(
-        F.min("event_timestamp").alias("_first"), F.max("event_timestamp").alias("_last"),
-        F.count("event_id").alias("_n"))
+    Aggregated per (user, event id), then (user, day), then user, so distinct ids are exact
+    whether or not ids repeat, and a user with a third of all events never lands in one task.
+    A repeated id counts once, on the day of its first copy; days count all copies."""
+    e = events.filter(F.col("user_id").isNotNull()).withColumn("_day", F.to_date("event_timestamp"))
+    ids = (e.filter(F.col("event_id").isNotNull()).groupBy("user_id", "event_id")
+           .agg(F.min("_day").alias("_day")).groupBy("user_id", "_day").agg(F.count("*").alias("_n")))
+    ids = ids.groupBy("user_id").agg(F.sum("_n").alias("total_events"))
+    daily = e.groupBy("user_id", "_day").agg(F.min("event_timestamp").alias("_first"), F.max("event_timestamp").alias("_last"))
     ua = daily.groupBy("user_id").agg(
         F.min("_first").alias("first_seen_at"), F.max("_last").alias("last_seen_at"),
-        F.count("_day").alias("days_active"), F.sum("_n").alias("total_events"))
+        F.count("_day").alias("days_active"))
+    ua = ua.join(ids, "user_id", "left").withColumn("total_events", F.coalesce("total_events", F.lit(0).cast("long")))
     ua = (ua.withColumn("days_since_first_seen", F.timestamp_diff("DAY", F.col("first_seen_at"), F.col("last_seen_at")))
             .withColumn("days_since_last_seen", F.timestamp_diff("DAY", F.col("last_seen_at"), ntz(as_of))))
     u = users.select("user_id", "platform", "app_version", "country", "language")

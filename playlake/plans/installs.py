@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from playlake.config import INFINITY_ATTRIBUTION, INFINITY_USER_MATCH, RunWindow, Settings
 from playlake.functions import fingerprint64, ntz, start_of_day, surrogate_key
 from playlake.operators.intervals import point_in_interval_join, starts_within_join
+from playlake.operators.joins import left_join_known
 from playlake.operators.topk import top1_per_key
 from playlake.operators.upsert import upsert
 
@@ -74,11 +75,10 @@ def cascade_device_match(attribution: DataFrame, devices: DataFrame) -> DataFram
     a = attribution.select("mediasource", "campaign", "adset", "installtime", "platform",
                            F.col("unique_id").alias("attribution_unique_id"), "appsflyerid", "advertisingid",
                            F.col("idfv").alias("attr_idfv"))
-    a = a.join(prim, (F.col("appsflyerid").isNotNull()) & (F.col("appsflyerid") == F.col("_k1")), "left")
-    a = a.join(andr, (F.col("platform") == "android") & F.col("advertisingid").isNotNull()
-               & (F.col("advertisingid") == F.col("_k2")) & F.col("_k1").isNull(), "left")
-    a = a.join(ios, (F.col("platform") == "ios") & F.col("attr_idfv").isNotNull()
-               & (F.col("attr_idfv") == F.col("_k3")) & F.col("_k1").isNull() & F.col("_k2").isNull(), "left")
+    # a rule's rows without a value, or matched before, bypass its join
+    a = left_join_known(a, prim, "appsflyerid", "_k1")
+    a = left_join_known(a, andr, "advertisingid", "_k2", (F.col("platform") == "android") & F.col("_k1").isNull())
+    a = left_join_known(a, ios, "attr_idfv", "_k3", (F.col("platform") == "ios") & F.col("_k1").isNull() & F.col("_k2").isNull())
     method = (F.when(F.col("_d1").isNotNull(), "joined_on_appsflyerid_af_id")
               .when(F.col("_d2").isNotNull(), "joined_on_android_advertisingid_adid")
               .when(F.col("_d3").isNotNull(), "joined_on_ios_idfv_idfv")

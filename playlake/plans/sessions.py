@@ -42,13 +42,25 @@ def identity_map(stg_events: DataFrame) -> DataFrame:
         F.min("event_timestamp").alias("event_timestamp"))
 
 
+#: tasks that share the anonymous rows of one device
+STITCH_SALTS = 16
+
+
 def stitch(events: DataFrame, imap: DataFrame) -> DataFrame:
-    """Fill a missing user from the device's first user (left join; AQE
-    broadcasts the map only when its runtime size is under the threshold and
-    splits skewed device partitions otherwise)."""
-    m = imap.select("device_id", F.col("user_id").alias("_first_user"))
-    return (events.join(m, on="device_id", how="left")
-                  .withColumn("stitched_user_id", F.coalesce("user_id", "_first_user")).drop("_first_user"))
+    """Fill a missing user from the device's first user.
+
+    Only rows without a user need the map.  They are salted over ``STITCH_SALTS`` keys a device (the
+    narrow map is repeated for each), so a hot device is spread whether or not the map is
+    small enough to be broadcast; what comes out is not hashed by device, so the
+    windows that follow deal it anew by device and time bucket."""
+    known = events.filter(F.col("user_id").isNotNull()).withColumn("stitched_user_id", F.col("user_id"))
+    salt = F.pmod(F.xxhash64("event_id"), F.lit(STITCH_SALTS)).cast("int")
+    m = imap.select("device_id", F.col("user_id").alias("_first_user"),
+                    F.explode(F.sequence(F.lit(0), F.lit(STITCH_SALTS - 1))).alias("_salt"))
+    anonymous = (events.filter(F.col("user_id").isNull()).withColumn("_salt", salt)
+                 .join(m, on=["device_id", "_salt"], how="left")
+                 .withColumn("stitched_user_id", F.col("_first_user")).drop("_first_user", "_salt"))
+    return known.unionByName(anonymous.select(*known.columns))
 
 
 def aggregate_sessions(numbered: DataFrame) -> DataFrame:

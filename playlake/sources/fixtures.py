@@ -165,7 +165,8 @@ def google_ad_groups(events: DataFrame) -> DataFrame:
     old = F.when(F.dayofmonth("ts") < 25, F.lit("_old")).otherwise(F.lit(""))
     return b.select((k % 3).cast("bigint").alias("ad_group_id"),
                     F.concat(F.lit("a"), _s(k % 3), old).alias("ad_group_name"),
-                    F.col("ts").alias("partition_time"))
+                    F.col("ts").alias("partition_time"),
+                    F.when(k % 11 != 0, (k % 6).cast("bigint")).alias("campaign_id"))
 
 
 def google_campaigns(events: DataFrame) -> DataFrame:

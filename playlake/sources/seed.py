@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # The reference's seed table (event_name, event_source), 35 rows,
 # in the order of the seed file.
@@ -49,4 +50,5 @@ def event_sources(spark: SparkSession, csv_path: str | None = None) -> DataFrame
     """The seed as a DataFrame; read from ``csv_path`` when given (header row)."""
     if csv_path:
         return spark.read.option("header", True).schema("event_name string, event_source string").csv(csv_path)
-    return spark.createDataFrame(EVENT_SOURCES, "event_name string, event_source string")
+    # the built-in rows are few by construction; a file of any size is left to the planner
+    return F.broadcast(spark.createDataFrame(EVENT_SOURCES, "event_name string, event_source string"))
