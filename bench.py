@@ -20,7 +20,8 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from playlake.plans import ads, facts, installs  # noqa: E402
-from playlake.plans.catalog import RUN_TS, WINDOW, Inputs  # noqa: E402
+from playlake.plans.catalog import (RUN_TS, WINDOW, Inputs, q_merge_null_day,  # noqa: E402
+                                    q_merge_schema_evolution)
 from playlake.session import build_session  # noqa: E402
 
 
@@ -54,6 +55,8 @@ def main() -> None:
             ("fct_user_acquisition_daily", lambda: run(ads.fct_user_acquisition_daily(i.ad_platform(),
                                                                                       i.daily_installs()))),
             ("user_activity", lambda: run(facts.user_activity(i.stg_events(), i.dim_users(), WINDOW.as_of))),
+            ("merge_null_day", lambda: run(q_merge_null_day(spark, sf_dir))),
+            ("merge_schema_evolution", lambda: run(q_merge_schema_evolution(spark, sf_dir))),
         ]
 
     def one_pass() -> dict[str, float]:

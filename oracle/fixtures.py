@@ -11,11 +11,13 @@ SPLIT = "TIMESTAMP '2024-01-20 00:00:00'"
 
 
 def base(q, part: str = "") -> None:
-    cond = {"": "TRUE", "_p1": f"ts < {SPLIT}", "_p2": f"ts >= {SPLIT}"}[part]
+    cond = {"": "TRUE", "_p1": f"ts < {SPLIT}", "_p2": f"ts >= {SPLIT}", "_hot": "TRUE"}[part]
+    rows = "events" if part != "_hot" else (
+        "(SELECT * REPLACE (CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END AS user_id) FROM events)")
     q.add(f"ev_base{part}", f"""
   SELECT event_id, ts, user_id, event_type, value,
          CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, user_id // 3 AS dn
-  FROM events WHERE {cond}""")
+  FROM {rows} WHERE {cond}""")
 
 
 def raw_events(qq, part: str = "") -> None:

@@ -28,6 +28,7 @@ def oracle_sql() -> dict[str, str]:
         "identity_map": _sql(jobs.identity_map),
         "stg_sessions": _sql(jobs.stg_sessions, "", 10),
         "stg_sessions_t720": _sql(jobs.stg_sessions, "", 720),
+        "stg_sessions_hot_device": _sql(jobs.stg_sessions, "_hot", 720),
         "sessions_by_window": _sql(jobs.sessions_by_window),
         "stg_devices": _sql(jobs.stg_devices),
         "dim_devices": _sql(jobs.dim_devices),

@@ -32,11 +32,6 @@ def json_scalar(doc: Column, path: str) -> Column:
             .otherwise(F.variant_get(doc, path, "string")))
 
 
-def json_subtree(doc: Column, path: str) -> Column:
-    """JSON text of the node at ``path`` (keys in canonical sorted order)."""
-    return F.to_json(F.variant_get(doc, path, "variant"))
-
-
 def json_fields(text: Column, names: Sequence[str]) -> Column:
     """Struct of the top-level ``names`` of JSON ``text``, each as raw STRING."""
     schema = "struct<" + ", ".join(f"`{n}`: string" for n in names) + ">"

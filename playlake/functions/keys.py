@@ -18,10 +18,6 @@ def fingerprint64(text: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
 
 
-def sha1_hex(text: Column) -> Column:
-    return F.sha1(text)
-
-
 def surrogate_key(*cols: Column | str) -> Column:
     """md5 over '-'-joined parts; NULL parts become a fixed placeholder."""
     parts = [F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit(SURROGATE_NULL))

@@ -29,11 +29,6 @@ def timestamp_from_millis(ms: Column) -> Column:
     return ntz(_EPOCH) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), secs)
 
 
-def whole_units_between(later: Column, earlier: Column, unit: str) -> Column:
-    """Whole elapsed ``unit``s from ``earlier`` to ``later``, truncated toward zero."""
-    return F.timestamp_diff(unit.upper(), earlier, later)
-
-
 def minus_micro(ts: Column) -> Column:
     return ts - F.expr("INTERVAL 1 MICROSECOND")
 

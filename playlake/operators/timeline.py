@@ -47,8 +47,8 @@ def lead_across(df: DataFrame, key: str, order: Sequence[Column | str], value: s
     """``out`` = ``value`` of the next row of ``key`` in ``order`` (NULL for the last)."""
     o = _order(order)
     wl = Window.partitionBy(key, BUCKET).orderBy(*o)
-    x = df.withColumn(out, F.lead(value).over(wl)).withColumn(
-        "_last", F.row_number().over(Window.partitionBy(key, BUCKET).orderBy(*[c.desc() for c in o])) == 1)
+    # one window gives both: the row after the last one has no marker
+    x = df.withColumn(out, F.lead(value).over(wl)).withColumn("_last", F.lead(F.lit(True)).over(wl).isNull())
     first = df.groupBy(key, BUCKET).agg(F.min_by(F.col(value), F.struct(*o)).alias("_first"))
     wb = Window.partitionBy(key).orderBy(BUCKET)
     carry = first.select(key, BUCKET, F.lead("_first").over(wb).alias("_carry"))

@@ -32,11 +32,15 @@ RUN_TS = {"p1": dt.datetime(2024, 1, 20), "p2": dt.datetime(2024, 1, 31), "": dt
 
 
 class Inputs:
-    """Lazily derived sources and upstream jobs for one data part."""
+    """Lazily derived sources and upstream jobs for one data part.
+
+    ``shared``: where it is a dict, all instances for one part share their stored tables."""
+
+    shared: dict | None = None
 
     def __init__(self, spark: SparkSession, sf_dir: str, part: str = "") -> None:
         self.spark, self.sf_dir, self.part = spark, sf_dir, part
-        self._cache: dict[str, DataFrame] = {}
+        self._cache: dict[str, DataFrame] = {} if self.shared is None else self.shared.setdefault((sf_dir, part), {})
 
     def _memo(self, key: str, fn: Callable[[], DataFrame]) -> DataFrame:
         if key not in self._cache:
@@ -50,6 +54,9 @@ class Inputs:
             return ev.filter(F.col("ts") < split)
         if self.part == "p2":
             return ev.filter(F.col("ts") >= split)
+        if self.part == "hot":
+            # one device with over a third of the events, in bursts far shorter than a day
+            return ev.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, F.lit(0)).otherwise(F.col("user_id")))
         return ev
 
     def stg_events(self) -> DataFrame:
@@ -147,6 +154,11 @@ def q_stg_sessions_t720(spark, sf):
     return _ids_as_text(Inputs(spark, sf).stg_sessions(720))
 
 
+def q_stg_sessions_hot_device(spark, sf):
+    """All events, with a third of them moved to one device."""
+    return _ids_as_text(Inputs(spark, sf, "hot").stg_sessions(720))
+
+
 def q_sessions_by_window(spark, sf):
     """The native session_window form at a 12-hour timeout: per-session counts."""
     from playlake.operators.sessionize import sessions_by_window
@@ -371,6 +383,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "identity_map": q_identity_map,
     "stg_sessions": q_stg_sessions,
     "stg_sessions_t720": q_stg_sessions_t720,
+    "stg_sessions_hot_device": q_stg_sessions_hot_device,
     "sessions_by_window": q_sessions_by_window,
     "stg_devices": q_stg_devices,
     "dim_devices": q_dim_devices,

@@ -9,6 +9,9 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 @pytest.fixture(scope="session")
 def spark():
     from playlake.session import build_session
+    from playlake.plans.catalog import Inputs
     s = build_session("local[4]", shuffle_partitions=4, app_name="playlake-tests")
+    Inputs.shared = {}      # the staging tables are built once for all tests
     yield s
+    Inputs.shared = None
     s.stop()

@@ -121,3 +121,56 @@ def test_bucketed_scd2_equals_single_window(spark):
     b = users.scd2_from_timeline_bucketed(df, "device_id", "user_id", "event_ts", "P", 6)
     assert sorted(map(tuple, a.collect()), key=repr) == sorted(map(tuple, b.select(*a.columns).collect()), key=repr)
     assert a.count() > 20
+
+
+def test_collapsed_null_runs_and_replaced_devices(spark):
+    import datetime as dt
+
+    from playlake.config import Settings
+    from playlake.plans import users
+    t = dt.datetime(2024, 1, 1)
+    at = [t + dt.timedelta(days=i) for i in range(6)]
+    rows = [("d", None, at[0]), ("d", None, at[1]), ("e", "u", at[0]), ("e", None, at[1]), ("e", "u", at[2]), ("e", "v", at[3])]
+    ses = spark.createDataFrame(rows, "device_id string, user_id string, session_start_ts timestamp_ntz")
+
+    def starts(df):
+        return sorted(((r["device_id"], r["user_id"], r["valid_from"]) for r in df.collect()), key=repr)
+    kept = [("e", "u", at[0]), ("e", "v", at[3])]
+    assert starts(users.dim_device_users_scd(ses)) == [("d", None, at[0]), ("d", None, at[1]), *kept]
+    collapse = Settings(collapse_null_runs=True)
+    assert starts(users.dim_device_users_scd(ses, None, collapse)) == [("d", None, at[0]), *kept]
+    # the next run learns d's user: a start stops being one
+    first = users.dim_device_users_scd(ses)
+    later = spark.createDataFrame([("d", "w", at[2])], ses.schema)
+    plain = users.dim_device_users_scd_merged(later, first, collapse)
+    assert ("d", None, at[1]) in starts(plain)
+    replaced = users.dim_device_users_scd_merged(later, first, Settings(collapse_null_runs=True, replace_keys=True))
+    assert starts(replaced) == [("d", "w", at[0]), *kept]
+
+
+def test_distinct_events_of_a_user(spark):
+    import datetime as dt
+
+    from playlake.plans import facts
+    t = dt.datetime(2024, 1, 1)
+    rows = [("u", "a", t), ("u", "a", t + dt.timedelta(days=1)), ("u", "b", t), ("u", None, t), ("w", None, t), (None, "c", t)]
+    ev = spark.createDataFrame(rows, "user_id string, event_id string, event_timestamp timestamp_ntz")
+    us = spark.createDataFrame([("u", "p", "1", "c", "l")], "user_id string, platform string, app_version string, country string, language string")
+    got = {r["user_id"]: (r["total_events"], r["days_active"]) for r in facts.user_activity(ev, us, t).collect()}
+    assert got == {"u": (2, 2), "w": (0, 1)}
+
+
+def test_default_run_window():
+    import datetime as dt
+
+    from playlake.config import RunWindow
+    w = RunWindow.resolve(today=dt.date(2024, 3, 10))
+    assert (w.start, w.end, w.as_of) == (dt.date(2024, 3, 3), dt.date(2024, 3, 10), dt.datetime(2024, 3, 10))
+    assert RunWindow.resolve("2024-01-01", "2024-01-05").start == dt.date(2024, 1, 1)
+
+
+def test_seed_from_a_file(spark, tmp_path):
+    from playlake.sources.seed import event_sources
+    (tmp_path / "s.csv").write_text("event_name,event_source\nApp Opened,frontend\nPrize Won,backend\n")
+    assert sorted(map(tuple, event_sources(spark, str(tmp_path / "s.csv")).collect())) == [("App Opened", "frontend"), ("Prize Won", "backend")]
+    assert event_sources(spark).count() == 35

@@ -6,8 +6,9 @@ import duckdb
 import pytest
 
 SF = "/root/testdata/sf0.001"
-KEYS = ["stg_events", "stg_sessions", "stg_sessions_t720", "sessions_by_window", "dim_device_users_scd",
-        "int_device_attributed_installs", "user_attributed_installs", "fct_user_acquisition_daily"]
+KEYS = ["stg_events", "stg_sessions", "stg_sessions_t720", "stg_sessions_hot_device", "sessions_by_window",
+        "dim_device_users_scd", "int_device_attributed_installs", "user_attributed_installs",
+        "fct_user_acquisition_daily", "user_activity", "interval_edge_cases", "merge_null_day", "merge_schema_evolution"]
 
 pytestmark = pytest.mark.skipif(not os.path.exists(SF), reason="fixture tables not present")
 
