@@ -22,10 +22,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from playlake.llm.common import materialize, shared_path, text_or_empty, without_breaks
+from playlake.llm.common import materialize, text_or_empty, unpacked, whole_row, without_breaks
 
 
 @dataclass(frozen=True)
@@ -123,11 +123,12 @@ def drop_copies(docs: DataFrame, options: IndexOptions = IndexOptions()) -> Data
     kept = (index.rows.join(index.entries.select(F.col("keep_row").alias("row")), "row", "left_semi")
             .select(F.col("doc_id").alias("_id"), F.col("n").alias("_n"), F.col("sha").alias("_sha")))
     kept = materialize(kept, "hash-kept")
-    out = (docs.withColumn("_id", F.col("doc_id").cast("long")).withColumn("_n", F.length(text_or_empty()))
-           .withColumn("_sha", F.sha2(F.encode(without_breaks(text_or_empty()), "UTF-8"), 256)))
+    norm = without_breaks(text_or_empty())
+    out = docs.select(whole_row(docs).alias("packed"), F.col("doc_id").cast("long").alias("_id"),
+                      F.length(text_or_empty()).alias("_n"), F.sha2(F.encode(norm, "UTF-8"), 256).alias("_sha"))
     same = out["_id"].eqNullSafe(kept["_id"]) & (out["_n"] == kept["_n"]) & (out["_sha"] == kept["_sha"])
     out = out.join(kept, same, "left_semi")
     again = index.rows.groupBy("doc_id", "n", "sha").count().filter("count > 1")
     if again.head(1):                # rows repeated with their doc_id: one of each
         out = out.dropDuplicates(["_id", "_n", "_sha"])
-    return out.drop("_id", "_n", "_sha")
+    return unpacked(out, "packed", docs.columns)

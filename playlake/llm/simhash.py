@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playlake.llm.common import materialize
+from playlake.llm.common import materialize, unpacked, whole_row
 from playlake.llm.components import connected_components
 
 SEED = 42
@@ -247,12 +247,13 @@ def keep_one(docs: DataFrame, shingle_words: int = 3, max_bits: int = 2, **optio
     kept = materialize(found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
                        .groupBy(F.col("component_id").alias("_id")).agg(F.min("text_hash").alias("_hash"),
                                                                         F.count("*").alias("_rows")), "near-kept")
-    keyed = docs.withColumn("_id", F.col("doc_id").cast("long")).withColumn("_hash", F.xxhash64("text"))
+    keyed = docs.select(whole_row(docs).alias("packed"), F.col("doc_id").cast("long").alias("_id"),
+                        F.xxhash64("text").alias("_hash"))
     same = keyed["_id"].eqNullSafe(kept["_id"]) & (keyed["_hash"] == kept["_hash"])
     out = keyed.join(kept.select("_id", "_hash"), same, "left_semi")
     if kept.filter("_rows > 1").head(1):             # a doc_id on several rows of its component
         out = out.dropDuplicates(["_id", "_hash"])
-    return out.drop("_id", "_hash")
+    return unpacked(out, "packed", docs.columns)
 
 
 def to_hex(fp):

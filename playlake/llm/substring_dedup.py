@@ -36,6 +36,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from playlake.llm.common import whole_row
 
 #: perfect difference covers by period: fixed values
 COVERS = {7: (0, 1, 3), 13: (0, 1, 3, 9), 21: (0, 1, 4, 14, 16), 31: (0, 1, 3, 8, 12, 18)}
@@ -331,12 +334,14 @@ def remove_repeated_windows(docs: DataFrame, min_words: int = 20, carry: list[st
         F.pmod(F.when(F.col("doc_id").isNull(), F.xxhash64(text)).otherwise(F.xxhash64("doc_id")),
                F.lit(groups)).alias("g"),
         F.col("doc_id").cast("long").alias("doc_id"), F.encode(text, "UTF-8").alias("bytes"),
-        *([F.struct(*carry).alias("carried")] if carry else []))
+        *([whole_row(docs, carry).alias("carried")] if carry else []))
     by_group = grouped.groupBy("g")
     marks = (by_group.applyInArrow(_emit_anchors(plan), _ANCHOR_ROWS)
              .groupBy("part").applyInArrow(_mark_anchors, _MARK_ROWS))
     firsts = (by_group.cogroup(marks.groupBy("g")).applyInArrow(_emit_windows(plan), _WINDOW_ROWS)
               .groupBy("part").applyInArrow(_decide_first, _FIRST_ROWS))
-    carried = f", carried {grouped.schema['carried'].dataType.simpleString()}" if carry else ""
-    return (by_group.cogroup(firsts.groupBy("g"))
-            .applyInArrow(_remove(plan), f"doc_id bigint{carried}, n_words bigint, n_removed bigint, kept_text string"))
+    schema = T.StructType().add("doc_id", "long")
+    if carry:
+        schema = schema.add("carried", grouped.schema["carried"].dataType)
+    schema = schema.add("n_words", "long").add("n_removed", "long").add("kept_text", "string")
+    return by_group.cogroup(firsts.groupBy("g")).applyInArrow(_remove(plan), schema)

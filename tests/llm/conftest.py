@@ -22,10 +22,11 @@ def make_docs(spark):
         T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
         T.StructField("lang", T.StringType()), T.StructField("source", T.StringType()),
         T.StructField("n_chars", T.LongType()), T.StructField("kept", T.StringType()),
-        T.StructField("g", T.LongType()), T.StructField("score", T.DoubleType()), T.StructField("h", T.LongType())])
+        T.StructField("g", T.LongType()), T.StructField("score", T.DoubleType()), T.StructField("h", T.LongType()),
+        T.StructField("_id", T.LongType()), T.StructField("_hash", T.StringType()), T.StructField("an odd.name", T.StringType())])
 
     def make(pairs, langs=None, parts=3):
-        rows = [(i, t, langs[k] if langs else "en", "src0", len(t) if t is not None else None, "k", 7, 0.5, 1)
+        rows = [(i, t, langs[k] if langs else "en", "src0", len(t) if t is not None else None, "k", 7, 0.5, 1, 9, "z", "o")
                 for k, (i, t) in enumerate(pairs)]
         return spark.createDataFrame(rows, schema).repartition(parts)
 

@@ -115,7 +115,8 @@ def test_dropped_copies_keep_all_columns(make_docs):
     docs = make_docs(pairs)
     kept = hash_index.drop_copies(docs)
     assert kept.columns == docs.columns
-    assert sorted((r["doc_id"], r["text"], r["h"]) for r in kept.collect()) == [(1, "a b", 1), (3, "c", 1), (7, "", 1), (8, "long  c", 1)]
+    assert sorted((r["doc_id"], r["text"], r["h"], r["_id"], r["an odd.name"]) for r in kept.collect()) == [
+        (1, "a b", 1, 9, "o"), (3, "c", 1, 9, "o"), (7, "", 1, 9, "o"), (8, "long  c", 1, 9, "o")]
     assert hash_index.exact_dedup(make_docs([])).count() == hash_index.drop_copies(make_docs([])).count() == 0
 
 
