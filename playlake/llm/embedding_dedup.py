@@ -3,7 +3,7 @@
 Vectors are compared only when their labels are equal.  Equal vectors of a label are one
 class.  Class vectors are scaled to length 1 and turned into the axes of their second-moment
 matrix (over all vectors, summed in Spark), largest variance first; a rotation keeps
-cosines.  Vectors of a label are dealt into blocks by the first coordinate, and two
+cosines.  Vectors of a label are dealt into blocks by ranges of the first coordinate, and two
 blocks meet in one task (a tile) unless their first coordinates are too far apart for the
 threshold.  A tile adds up the products of the leading dimensions first.  What the rest can
 still add is at most the product of the suffix norms, so a pair is given up as soon as the sum and
@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from playlake.llm.common import materialize
@@ -181,26 +181,36 @@ def link_vectors(vectors: DataFrame, threshold: float = 0.93, block_rows: int =
             lambda it: _rotate(it, axes),
             f"label {classes.schema['label'].dataType.simpleString()}, class_id bigint, size bigint, dim int, "
             "cell int, raw binary, turned binary"), "turned-vectors")
-    where = ["label", "dim", "cell"]
-    cells = turned.groupBy(*where).agg(F.ceil(F.count("*") / block_rows).cast("int").alias("blocks"))
+    # neighbouring cells are put together to ranges of about block_rows rows; a range that has
+    # more (one full cell) is split into blocks by hash.  A label has at most 2 / CELL + 1 cells.
+    before = Window.partitionBy("label", "dim").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    cells = (turned.groupBy("label", "dim", "cell").agg(F.count("*").alias("n"))
+             .withColumn("range", F.floor(F.coalesce(F.sum("n").over(before), F.lit(0)) / block_rows)))
     cells = materialize(cells, "vector-cells")
-    # a block is a share of a cell; two blocks meet if their first coordinates can be close enough
-    blocks = cells.select(*where, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    ranges = cells.groupBy("label", "dim", "range").agg(
+        F.min("cell").alias("low"), F.max("cell").alias("high"),
+        F.ceil(F.sum("n") / block_rows).cast("int").alias("blocks"))
+    blocks = ranges.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    # two blocks meet unless their first coordinates are too far apart
     reach = float(np.sqrt(max(0.0, 2 - 2 * threshold))) + SLACK
-    other = blocks.select("label", "dim", F.col("cell").alias("cell_2"), F.col("block").alias("block_2"))
+    other = blocks.select("label", "dim", F.col("low").alias("low_2"), F.col("range").alias("range_2"),
+                          F.col("block").alias("block_2"))
+    same = (F.col("range") == F.col("range_2")) & (F.col("block") == F.col("block_2"))
+    after = (F.col("range") < F.col("range_2")) | ((F.col("range") == F.col("range_2")) & (F.col("block") <= F.col("block_2")))
     tiles = (blocks.join(other, ["label", "dim"])
-             .filter(((F.col("cell") < F.col("cell_2")) | ((F.col("cell") == F.col("cell_2")) & (F.col("block") <= F.col("block_2"))))
-                     & ((F.col("cell_2") - F.col("cell") - 1) * CELL <= reach))
-             .withColumn("same", (F.col("cell") == F.col("cell_2")) & (F.col("block") == F.col("block_2"))))
-    placed = turned.join(cells, where).withColumn("block", F.pmod(F.xxhash64("class_id"), F.col("blocks")).cast("int"))
-    sides = (tiles.withColumn("tile", F.struct("label", "dim", "cell", "block", "cell_2", "block_2"))
-             .select("label", "dim", "same", "tile", F.explode(F.array(
-                 F.struct(F.col("cell"), F.col("block"), F.lit(True).alias("left_side")),
-                 F.struct(F.col("cell_2").alias("cell"), F.col("block_2").alias("block"), F.lit(False).alias("left_side"))
+             .filter(after & ((F.col("low_2") - F.col("high") - 1) * CELL <= reach)).withColumn("same", same)
+             .withColumn("tile", F.struct("label", "dim", "range", "block", "range_2", "block_2")))
+    placed = (turned.join(cells.select("label", "dim", "cell", "range"), ["label", "dim", "cell"])
+              .join(ranges.select("label", "dim", "range", "blocks"), ["label", "dim", "range"])
+              .withColumn("block", F.pmod(F.xxhash64("class_id"), F.col("blocks")).cast("int")))
+    sides = (tiles.select("label", "dim", "same", "tile", F.explode(F.array(
+                 F.struct(F.col("range"), F.col("block"), F.lit(True).alias("left_side")),
+                 F.struct(F.col("range_2").alias("range"), F.col("block_2").alias("block"), F.lit(False).alias("left_side"))
              )).alias("s")).filter("s.left_side or not same")
-             .select("label", "dim", F.col("s.cell").alias("cell"), F.col("s.block").alias("block"),
-                     "tile", "same", F.col("s.left_side").alias("left_side")))
-    met = placed.join(sides, [*where, "block"]).select("tile", "same", "left_side", "dim", "class_id", "size", "raw", "turned")
+             .select("label", "dim", F.col("s.range").alias("range"), F.col("s.block").alias("block"), "tile", "same",
+                     F.col("s.left_side").alias("left_side")))
+    met = placed.join(sides, ["label", "dim", "range", "block"]).select(
+        "tile", "same", "left_side", "dim", "class_id", "size", "raw", "turned")
     found = materialize(met.groupBy("tile").applyInArrow(
         _tile(threshold, rows_at_once), "class_id bigint, links bigint, reached bigint"), "vector-links")
 
