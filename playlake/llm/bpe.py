@@ -71,7 +71,7 @@ class PairTable:
 
     def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Merge rank of each pair, -1 where there is none (symbols below 0 have none)."""
-        keys = (left << 32) | right
+        keys = (left.astype(np.int64) << 32) | right
         if not self.keys.size:
             return np.full(keys.size, -1)
         at = np.minimum(np.searchsorted(self.keys, keys), self.keys.size - 1)
@@ -121,18 +121,19 @@ def merge_words(words: list[bytes], table: PairTable) -> tuple[np.ndarray, np.nd
     total = int(sizes.sum()) + sizes.size + 1
     # a separator before every word and one at the end
     starts = np.cumsum(sizes + 1) - sizes
-    symbol = np.full(total, -1, np.int64)
+    symbol = np.full(total, -1, np.int32)
     inside = np.ones(total, bool)
     inside[starts - 1] = False
     inside[-1] = False
     symbol[inside] = table.byte_ids[np.frombuffer(b"".join(words), np.uint8)]
-    after = np.arange(1, total + 1)
+    link = np.int32 if total < 1 << 31 else np.int64
+    after = np.arange(1, total + 1, dtype=link)
     after[-1] = total - 1
-    before = np.arange(-1, total - 1)
+    before = np.arange(-1, total - 1, dtype=link)
     before[0] = 0
 
     index = _Occurrences()
-    index.add(table.rank(symbol[:-1], symbol[1:]), np.arange(total - 1))
+    index.add(table.rank(symbol[:-1], symbol[1:]), np.arange(total - 1, dtype=link))
     while (step := index.next()) is not None:
         r, at = step
         a, b, new = int(table.left[r]), int(table.right[r]), int(table.merged[r])
@@ -219,7 +220,7 @@ def _encode(batches: Iterator[pa.RecordBatch], path: str, chunk_chars: int) -> I
         yield flush(doc_ids, texts)
 
 
-def encode_documents(docs: DataFrame, tokenizer: str, chunk_chars: int = 8_000_000) -> DataFrame:
+def encode_documents(docs: DataFrame, tokenizer: str, chunk_chars: int = 6_000_000) -> DataFrame:
     """doc_id, n_tokens, ids (binary: little-endian unsigned 32-bit integers) of every row."""
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return plain.mapInArrow(lambda it: _encode(it, tokenizer, chunk_chars), "doc_id bigint, n_tokens bigint, ids binary")
