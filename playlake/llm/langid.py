@@ -1,13 +1,13 @@
 """Language identification with bit-sliced n-gram filters.
 
 Learning counts the letter trigrams (with word borders) of all labelled training texts, by
-language.  A language's filter holds the trigrams that make up at least ``min_part`` of its
+language, each once a text, so a text that repeats itself weighs no more.  A language's filter holds the trigrams that make up at least ``min_part`` of its
 trigrams, and of whose frequency, added over languages, it has at least ``min_share``; as parts
 add up to 1, a filter holds at most ``1 / min_part`` trigrams, whatever the corpus.
 
 The filters are Bloom filters of one size and the same hash functions, stored as slices: entry i
 holds bit i of every language's filter as a bit mask.  A trigram's ``hashes`` entries, combined
-with AND, give all languages that hold it at once.  A text's hits are counted for each
+with AND, give all languages that hold it at once.  The hits of a text's distinct trigrams are counted for each
 language and corrected for false positives, whose rate is the filter's fill to the power
 ``hashes``: ``share = (hits / trigrams - rate) / (1 - rate)``.  The largest share decides.
 
@@ -31,8 +31,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from playlake.llm.common import materialize
+from playlake.llm.common import materialize, unpacked, whole_row
 
 UNKNOWN = "und"
 #: characters handled at once
@@ -67,7 +68,9 @@ def _slices(texts: list[str]) -> Iterator[list[tuple[int, str, int, int]]]:
 
 
 def trigrams(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(codes, text numbers) of all trigrams around a letter, in slices; numbers ascend."""
+    """(codes, text numbers) of the distinct trigrams around a letter of each text, by slices.
+
+    A text within one slice has each trigram once; of longer ones, each slice has."""
     letters = _letters()
     for parts in _slices([(t or "").lower() for t in texts]):
         joined = "\0" + "\0".join(p for _, p, _, _ in parts) + "\0"
@@ -82,7 +85,11 @@ def trigrams(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]
                 centre[at] = False
             if end < len(p):
                 centre[at + end:at + len(p)] = False
-        yield codes[centre], number[:centre.size][centre]
+        codes, number = codes[centre], number[:centre.size][centre]
+        # a 64-bit hash of (text, trigram) stands for the pair
+        pair = (codes ^ (number.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))) * np.uint64(0x9E3779B97F4A7C15)
+        first = np.unique(pair ^ (pair >> np.uint64(32)), return_index=True)[1]
+        yield codes[first], number[first]
 
 
 # ---------------------------------------------------------------- learning
@@ -197,24 +204,29 @@ def shares(texts: list[str | None], filters: Filters) -> tuple[np.ndarray, np.nd
 
 
 def _predict(batches: Iterator[pa.RecordBatch], filters: Filters) -> Iterator[pa.RecordBatch]:
+    """Rows of carried and, unless it is carried already, text."""
     names = np.array([*filters.languages, UNKNOWN], object)
     for whole in batches:
+        texts = whole.column(1) if whole.num_columns > 1 else whole.column(0).field("text")
         for a in range(0, whole.num_rows, 500):
             batch = whole.slice(a, 500)
-            found, n = shares(batch.column(0).to_pylist(), filters)
+            found, n = shares(texts.slice(a, 500).to_pylist(), filters)
             best = found.argmax(axis=1) if filters.languages else np.zeros(batch.num_rows, np.int64)
             known = (n > 0) & bool(filters.languages)
             score = found[np.arange(best.size), best] if filters.languages else np.zeros(batch.num_rows)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(1), pa.array(names[np.where(known, best, len(filters.languages))], pa.string()),
+                [batch.column(0), pa.array(names[np.where(known, best, len(filters.languages))], pa.string()),
                  pa.array(np.where(known, score, 0.0))], names=["carried", "lang_pred", "score"])
 
 
 def predict(docs: DataFrame, filters: Filters, carry: list[str]) -> DataFrame:
     """carried (a struct of the columns ``carry``), lang_pred, score of every row of ``docs`` (text)."""
-    plain = docs.select(F.col("text").cast("string").alias("text"), F.struct(*carry).alias("carried"))
-    kind = plain.schema["carried"].dataType.simpleString()
-    return plain.mapInArrow(lambda it: _predict(it, filters), f"carried {kind}, lang_pred string, score double")
+    plain = docs.select(whole_row(docs, carry).alias("carried"), F.col("text").cast("string").alias("text"))
+    if "text" in carry and docs.schema["text"].dataType == T.StringType():
+        plain = plain.select("carried")              # the text goes to Python once
+    schema = (T.StructType().add("carried", plain.schema["carried"].dataType).add("lang_pred", "string")
+              .add("score", "double"))
+    return plain.mapInArrow(lambda it: _predict(it, filters), schema)
 
 
 def held_out(doc_id="doc_id"):
@@ -222,7 +234,7 @@ def held_out(doc_id="doc_id"):
     return F.pmod(F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")), F.lit(3)) == 1
 
 
-def keep_known(docs: DataFrame, min_score: float = 0.2, **options) -> DataFrame:
+def keep_known(docs: DataFrame, min_score: float = 0.1, **options) -> DataFrame:
     """The rows of ``docs`` whose text is in a language learned from the labelled rows.
 
     Rejected are texts that are ``und`` and those of which the best language explains less
@@ -230,5 +242,5 @@ def keep_known(docs: DataFrame, min_score: float = 0.2, **options) -> DataFrame:
     """
     filters = learn(docs.filter(~held_out()), **options)
     found = predict(docs, filters, docs.columns)
-    return (found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score))
-            .select(*(F.col("carried").getField(c).alias(c) for c in docs.columns)))
+    known = found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score))
+    return unpacked(known, "carried", docs.columns)
