@@ -7,8 +7,8 @@ over residual gaps, of the squared number of open bins with that gap smallest.
 
 Pieces are dealt by hash into groups of about ``group_pieces`` and each group is packed by
 its own task.  Bins that stay emptier than ``keep_fill`` are opened again and their
-pieces packed once more in fewer, larger-grained groups (``rounds`` in all), so what a
-group could not fill meets the leftovers of others.  The state of a group is a counter per gap.
+pieces packed once more, dealt anew into fewer groups (``rounds`` in all), so what a
+group could not fill meets the leftovers of others, without the open bins of the first time.  The state of a group is a counter per gap.
 
 Edge cases: a null text counts as empty (one piece of the end id); rows that share a doc_id
 are told apart by a row number within the doc_id; an empty table gives no rows; other columns
@@ -126,11 +126,13 @@ def pack_pieces(pieces: DataFrame, size: int = 2048, group_pieces: int = 40_000,
     todo = pieces.select(*(c.split()[0] for c in _PIECES.split(", ")))
     for r in range(rounds):
         n = todo.count()
+        if r and not n:
+            break
         groups = max(1, -(-n // group_pieces))
         dealt = todo.withColumn("_group", F.pmod(F.xxhash64("doc_id", "piece", F.lit(r)), F.lit(groups)))
         packed = materialize(
             dealt.groupBy("_group").applyInArrow(_packer(size, r), _PACKED), f"packed-{r}")
-        last = r == rounds - 1 or groups == 1
+        last = r == rounds - 1
         full = F.col("filled") >= int(keep_fill * size)
         done.append(packed if last else packed.filter(full))
         if last:
