@@ -15,8 +15,9 @@ it found, never the pairs themselves.  Forests are joined by ``connected_compone
 
 Edge cases: a null text has no words; repeated rows and equal texts share a fingerprint and are
 one component; a null doc_id takes part but names a component only where all its ids are
-null (``keep_one`` keeps one such row in all); an empty table gives no rows; extra columns
-are carried by ``keep_one`` only.
+null; ``keep_one`` tells components apart by their smallest fingerprint, so null and
+repeated ids lose no component; an empty table gives no rows; extra columns are carried by
+``keep_one`` only.
 """
 
 from __future__ import annotations
@@ -221,32 +222,32 @@ def near_links(fps: DataFrame, max_bits: int = 2, shard_size: int = 8_000, sampl
 
 
 def _with_components(docs: DataFrame, shingle_words: int, max_bits: int, **options) -> DataFrame:
-    """doc_id, text_hash, fp, component_id of every row."""
+    """doc_id, text_hash, fp, root, component_id of every row; ``root``, a fingerprint, identifies the component."""
     rows = materialize(fingerprints(docs, shingle_words), "fingerprints")
     classes = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "fingerprint-classes")
     roots = connected_components(near_links(classes.select("fp"), max_bits, **options))
     joined = (classes.join(roots, classes["fp"] == roots["node"], "left")
               .select("fp", F.coalesce("root", "fp").alias("root"), "first_id"))
     ids = joined.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = joined.join(ids, "root").select("fp", "component_id")
-    return rows.join(named, "fp").select("doc_id", "text_hash", "fp", "component_id")
+    named = joined.join(ids, "root").select("fp", "root", "component_id")
+    return rows.join(named, "fp").select("doc_id", "text_hash", "fp", "root", "component_id")
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = 3, max_bits: int = 2, **options) -> DataFrame:
     """doc_id, fp, component_id (smallest doc_id that links reach) of every row."""
-    return _with_components(docs, shingle_words, max_bits, **options).drop("text_hash")
+    return _with_components(docs, shingle_words, max_bits, **options).drop("text_hash", "root")
 
 
 def keep_one(docs: DataFrame, shingle_words: int = 3, max_bits: int = 2, **options) -> DataFrame:
     """One row of each component of ``docs``, that with the smallest doc_id, with all its columns.
 
-    Of rows that share this doc_id the one with the smallest text hash stays, and of rows
-    equal in both any one.
+    Of rows of the component that share this doc_id (or have none, where it has no ids) the one
+    with the smallest text hash stays, and of rows equal in both any one.
     """
     found = _with_components(docs, shingle_words, max_bits, **options)
     kept = materialize(found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-                       .groupBy(F.col("component_id").alias("_id")).agg(F.min("text_hash").alias("_hash"),
-                                                                        F.count("*").alias("_rows")), "near-kept")
+                       .groupBy("root").agg(F.min("component_id").alias("_id"), F.min("text_hash").alias("_hash"),
+                                            F.count("*").alias("_rows")), "near-kept")
     keyed = docs.select(whole_row(docs).alias("packed"), F.col("doc_id").cast("long").alias("_id"),
                         F.xxhash64("text").alias("_hash"))
     same = keyed["_id"].eqNullSafe(kept["_id"]) & (keyed["_hash"] == kept["_hash"])

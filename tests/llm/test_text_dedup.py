@@ -209,6 +209,21 @@ def test_one_of_each_group_stays(make_docs):
     assert simhash.keep_one(make_docs([])).count() == 0
 
 
+def test_unrelated_rows_stay_whatever_their_ids(make_docs):
+    rng = random.Random(10)
+    texts = [prose(rng, 80) for _ in range(9)]
+    pairs = [(None, t) for t in texts[:4]] + [(7, texts[4]), (7, texts[5]), (1, texts[6])]
+    # linked: without any id, one with an id, and a copy under the repeated id
+    pairs += [(None, texts[0].upper()), (None, texts[7]), (8, texts[7].upper()), (7, texts[4]), (7, texts[8]), (7, texts[8].upper())]
+    values = [plain_fingerprint(t) for t in (p[1] for p in pairs)]
+    want = defaultdict(list)
+    for (i, t), r in zip(pairs, plain_components(values, 2)):
+        want[r].append((i is None, i or 0, xxhash.xxh64_intdigest(t.encode(), 42) ^ 1 << 63, i, t))
+    assert len(want) == 9
+    kept = simhash.keep_one(make_docs(pairs)).collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in kept), key=repr) == sorted((min(g)[3:] for g in want.values()), key=repr)
+
+
 def test_components_of_long_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(200)] + [(5000, 5000 + i) for i in range(1, 300)] + [(9, 9), (7000, 6999)]
     rows = connected_components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()
