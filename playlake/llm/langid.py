@@ -1,15 +1,19 @@
 """Language identification with bit-sliced n-gram filters.
 
 Learning counts the letter trigrams (with word borders) of all labelled training texts, by
-language, each once a text, so a text that repeats itself weighs no more.  A language's filter holds the trigrams that make up at least ``min_part`` of its
-trigrams, and of whose frequency, added over languages, it has at least ``min_share``; as parts
-add up to 1, a filter holds at most ``1 / min_part`` trigrams, whatever the corpus.
+language, each once a text, so a text that repeats itself weighs no more.  A language's filter holds all
+trigrams that make up at least ``min_part`` of its trigrams, however many other languages have them;
+as parts add up to 1, a filter holds at most ``1 / min_part`` trigrams, whatever the corpus.  A second
+filter holds those of them that mark the language: it has at least ``min_share`` of the
+frequency that it and the language richest in the trigram have together.  So a label with the
+same trigrams changes neither filter of another one, and related languages keep theirs.
 
 The filters are Bloom filters of one size and the same hash functions, stored as slices: entry i
-holds bit i of every language's filter as a bit mask.  A trigram's ``hashes`` entries, combined
+holds bit i of every filter as a bit mask.  A trigram's ``hashes`` entries, combined
 with AND, give all languages that hold it at once.  The hits of a text's distinct trigrams are counted for each
 language and corrected for false positives, whose rate is the filter's fill to the power
-``hashes``: ``share = (hits / trigrams - rate) / (1 - rate)``.  The largest share decides.
+``hashes``: ``share = (hits / trigrams - rate) / (1 - rate)``.  The largest share of
+marking trigrams decides; the score is the language's share in the first filter, to which common ones count.
 
 Training reads text and label of training rows only; prediction reads the text only.
 
@@ -124,7 +128,10 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @dataclass(frozen=True)
 class Filters:
-    """Bit-sliced filters: ``slices[i, w]`` has bit i of the filters of languages 64 w to 64 w + 63."""
+    """Bit-sliced filters: ``slices[i, w]`` has bit i of filters 64 w to 64 w + 63.
+
+    Filter k is that of language k; those of the marking trigrams, if any, follow in the same order.
+    """
 
     languages: list[str]
     slices: np.ndarray
@@ -151,15 +158,18 @@ def _places(codes: np.ndarray, size: int, hashes: int) -> Iterator[np.ndarray]:
         yield ((x + np.uint64(k) * step) & np.uint64(size - 1)).astype(np.int64)
 
 
-def build_filters(grams: dict[str, np.ndarray], hashes: int = 3, entries_a_gram: int = 16) -> Filters:
+def build_filters(grams: dict[str, np.ndarray], marking: dict[str, np.ndarray] | None = None, hashes: int = 3,
+                  entries_a_gram: int = 16) -> Filters:
+    """``marking``: for each language those of its ``grams`` that mark it."""
     languages = sorted(grams)
     most = max((g.size for g in grams.values()), default=0)
     size = 1 << max(10, int(np.ceil(np.log2(max(1, most * entries_a_gram)))))
-    slices = np.zeros((size, max(1, -(-len(languages) // 64))), np.uint64)
-    rates = np.zeros(len(languages))
-    for i, lang in enumerate(languages):
+    held = [grams[lang] for lang in languages] + [marking[lang] for lang in languages if marking is not None]
+    slices = np.zeros((size, max(1, -(-len(held) // 64))), np.uint64)
+    rates = np.zeros(len(held))
+    for i, own in enumerate(held):
         bit = np.zeros(size, bool)
-        for at in _places(grams[lang], size, hashes):
+        for at in _places(own, size, hashes):
             bit[at] = True
         slices[bit, i // 64] |= np.uint64(1 << (i % 64))
         rates[i] = bit.mean() ** hashes
@@ -174,21 +184,26 @@ def learn(rows: DataFrame, min_part: float = 1e-5, min_share: float = 0.3, **opt
                          .groupBy("lang", "gram").agg(F.sum("n").alias("n")), "trigrams")
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     parts = counts.join(totals, "lang").withColumn("part", F.col("n") / F.col("total"))
-    sums = parts.groupBy("gram").agg(F.sum("part").alias("parts"))
-    chosen = (parts.filter(F.col("part") >= min_part).join(sums, "gram")
-              .filter(F.col("part") >= F.col("parts") * min_share)
-              .groupBy("lang").agg(F.collect_list("gram").alias("grams")))
+    tops = parts.groupBy("gram").agg(F.max("part").alias("top"))
+    marks = F.col("part") >= (F.col("part") + F.col("top")) * min_share
+    # codes have 63 bits: the sign tells those that mark the language
+    chosen = (parts.filter(F.col("part") >= min_part).join(tops, "gram")
+              .groupBy("lang").agg(F.collect_list(F.when(marks, F.bitwise_not("gram")).otherwise(F.col("gram"))).alias("grams")))
+    grams, marking = {}, {}
     # a language has at most 1 / min_part grams
-    grams = {r["lang"]: np.sort(np.array(r["grams"], np.int64).view(np.uint64)) for r in chosen.collect()}
-    return build_filters(grams, **options)
+    for r in chosen.collect():
+        codes = np.array(r["grams"], np.int64)
+        marking[r["lang"]] = np.sort(~codes[codes < 0]).view(np.uint64)
+        grams[r["lang"]] = np.sort(np.where(codes < 0, ~codes, codes)).view(np.uint64)
+    return build_filters(grams, marking, **options)
 
 
 # ---------------------------------------------------------------- prediction
 
 def shares(texts: list[str | None], filters: Filters) -> tuple[np.ndarray, np.ndarray]:
-    """Corrected share of each language (texts x languages), and the number of trigrams of each text."""
+    """Corrected share of each filter (texts x filters), and the number of trigrams of each text."""
     n = np.zeros(len(texts), np.int64)
-    hits = np.zeros((len(texts), len(filters.languages)))
+    hits = np.zeros((len(texts), filters.rates.size))
     for codes, number in trigrams(texts):
         if not codes.size:
             continue
@@ -196,7 +211,7 @@ def shares(texts: list[str | None], filters: Filters) -> tuple[np.ndarray, np.nd
         if not filters.languages:
             continue
         masks = filters.masks(codes)
-        for i in range(len(filters.languages)):
+        for i in range(filters.rates.size):
             bit = (masks[:, i // 64] >> np.uint64(i % 64)) & np.uint64(1)
             hits[:, i] += np.bincount(number, weights=bit, minlength=len(texts))
     observed = hits / np.maximum(n, 1)[:, None]
@@ -211,7 +226,8 @@ def _predict(batches: Iterator[pa.RecordBatch], filters: Filters) -> Iterator[pa
         for a in range(0, whole.num_rows, 500):
             batch = whole.slice(a, 500)
             found, n = shares(texts.slice(a, 500).to_pylist(), filters)
-            best = found.argmax(axis=1) if filters.languages else np.zeros(batch.num_rows, np.int64)
+            # the last filters are those of the marking trigrams
+            best = found[:, -len(filters.languages):].argmax(axis=1) if filters.languages else np.zeros(batch.num_rows, np.int64)
             known = (n > 0) & bool(filters.languages)
             score = found[np.arange(best.size), best] if filters.languages else np.zeros(batch.num_rows)
             yield pa.RecordBatch.from_arrays(

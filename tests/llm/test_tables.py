@@ -219,6 +219,24 @@ def test_labels_of_held_out_documents_never_teach(make_docs):
     assert langid.learn(docs.filter(~langid.held_out())).languages == ["es", "no"]
 
 
+def test_labels_with_the_same_trigrams_reject_no_document(make_docs):
+    rng = random.Random(12)
+    labels = ["en-au", "en-gb", "en-in", "en-nz", "en-us", "en-za"]
+    rows = [(i, prose(rng, 120), labels[i % 6]) for i in range(240)]
+    # one more language with words of its own, some of them English
+    other = ["vann", "fjord", "kveld", "blå", "skog", "ingen", "natt", "elm", "oak"]
+    rows += [(i, " ".join(rng.choices(other, k=120)), "no") for i in range(240, 300)]
+    docs = make_docs([(i, t) for i, t, _ in rows], [x for _, _, x in rows])
+    filters = langid.learn(docs.filter(~langid.held_out()))
+    got = {r["carried"]["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.predict(docs, filters, docs.columns).collect()}
+    assert all(got[i][0] == "no" if x == "no" else got[i][0] in labels for i, _, x in rows)
+    assert min(s for _, s in got.values()) > 0.8
+    assert langid.keep_known(docs).count() == len(rows)
+    # a trigram is in the filters of all languages that have it
+    code = next(langid.trigrams(["oak"]))[0]
+    assert (filters.masks(code)[:, 0] & np.uint64(127) == 127).all()
+
+
 def test_nothing_learned_and_empty_tables(make_docs):
     filters = langid.learn(make_docs([]))
     assert langid.predict(make_docs([]), filters, ["doc_id"]).count() == 0
