@@ -11,8 +11,8 @@ pieces packed once more, dealt anew into fewer groups (``rounds`` in all), so wh
 group could not fill meets the leftovers of others, without the open bins of the first time.  The state of a group is a counter per gap.
 
 Edge cases: a null text counts as empty (one piece of the end id); rows that share a doc_id
-are told apart by a row number within the doc_id; an empty table gives no rows; other columns
-are not read.
+(or have none) are dealt by a stored row id, so no key fills a group; an empty table gives no
+rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from playlake.llm.common import materialize
 from playlake.llm.tokens import encoder
 
-_PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
+_PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, row bigint"
 _PACKED = _PIECES + ", sequence_id bigint, offset bigint, filled bigint"
 
 
@@ -36,8 +36,8 @@ def _cut(batches: Iterator[pa.RecordBatch], tokenizer: str, end_id: int, size: i
     enc = encoder(tokenizer)
     end = np.array([end_id], "<u4").tobytes()
     for batch in batches:
-        docs, piece, start, length, crc = [], [], [], [], []
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+        docs, piece, start, length, crc, row = [], [], [], [], [], []
+        for doc_id, text, number in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
             ids = enc.ids(text.as_py()) + end
             n = len(ids) // 4
             at, k, first = 0, 0, n % size or size
@@ -48,16 +48,18 @@ def _cut(batches: Iterator[pa.RecordBatch], tokenizer: str, end_id: int, size: i
                 start.append(at)
                 length.append(z - at)
                 crc.append(zlib.crc32(ids[4 * at:4 * z]))
+                row.append(number)
                 at, k = z, k + 1
         yield pa.RecordBatch.from_arrays(
             [pa.array(docs, pa.int64()), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
-             pa.array(length, pa.int64()), pa.array(crc, pa.int64())],
-            names=["doc_id", "piece", "start", "length", "ids_crc32"])
+             pa.array(length, pa.int64()), pa.array(crc, pa.int64()), pa.array(row, pa.int64())],
+            names=["doc_id", "piece", "start", "length", "ids_crc32", "row"])
 
 
 def cut_documents(docs: DataFrame, tokenizer: str, size: int = 2048, end_id: int = 0) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32 of every piece."""
-    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    """doc_id, piece, start, length, ids_crc32, row of every piece; ``row`` tells rows of ``docs`` apart once stored."""
+    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+                        F.monotonically_increasing_id().alias("row"))
     return plain.mapInArrow(lambda it: _cut(it, tokenizer, end_id, size), _PIECES)
 
 
@@ -129,7 +131,7 @@ def pack_pieces(pieces: DataFrame, size: int = 2048, group_pieces: int = 40_000,
         if r and not n:
             break
         groups = max(1, -(-n // group_pieces))
-        dealt = todo.withColumn("_group", F.pmod(F.xxhash64("doc_id", "piece", F.lit(r)), F.lit(groups)))
+        dealt = todo.withColumn("_group", F.pmod(F.xxhash64("row", "piece", F.lit(r)), F.lit(groups)))
         packed = materialize(
             dealt.groupBy("_group").applyInArrow(_packer(size, r), _PACKED), f"packed-{r}")
         last = r == rounds - 1
@@ -141,7 +143,7 @@ def pack_pieces(pieces: DataFrame, size: int = 2048, group_pieces: int = 40_000,
     out = done[0]
     for d in done[1:]:
         out = out.unionByName(d)
-    return out.drop("filled")
+    return out.drop("filled", "row")
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, size: int = 2048, end_id: int = 0, **options) -> DataFrame:

@@ -23,7 +23,8 @@ read three times (Spark reuses the exchange).
 
 Edge cases: a null text has no words; a null doc_id ranks last, in any order among null ones (one
 of them keeps a window they share); rows that share another doc_id are separate documents, ordered
-by text; texts of fewer words than a window
+by text; rows of a repeated or null doc_id are sorted once and dealt over the groups by
+their rank, so no key fills a group; texts of fewer words than a window
 are kept whole; an empty table gives no rows; columns named in ``carry`` are passed through under
 their names.  Words and windows are compared by 64-bit and 96-bit hashes of their bytes.
 """
@@ -38,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from playlake.llm.common import whole_row
+from playlake.llm.common import materialize, whole_row
 
 #: perfect difference covers by period: fixed values
 COVERS = {7: (0, 1, 3), 13: (0, 1, 3, 9), 21: (0, 1, 4, 14, 16), 31: (0, 1, 3, 8, 12, 18)}
@@ -172,18 +173,18 @@ class _Plan:
 _LAST = np.iinfo(np.int64).max
 
 
-def _ordered(table: pa.Table) -> tuple[pa.Table, list[bytes], np.ndarray]:
-    """The group's rows in document order, their texts, and their doc_id (nulls: the largest value)."""
+def _ordered(table: pa.Table) -> tuple[pa.Table, list[bytes], np.ndarray, np.ndarray]:
+    """The group's rows in document order, their texts, doc_id (nulls: the largest value) and rank."""
     texts = [t.as_py() for t in table.column("bytes").combine_chunks()] if table.num_rows else []
-    ids = table.column("doc_id").to_pylist()
-    order = sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i] or 0, texts[i]))
+    ids, ranks = table.column("doc_id").to_pylist(), table.column("rank").to_pylist()
+    order = sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i] or 0, ranks[i]))
     key = np.array([_LAST if ids[i] is None else ids[i] for i in order], np.int64)
-    return table.take(order), [texts[i] for i in order], key
+    return table.take(order), [texts[i] for i in order], key, np.array([ranks[i] for i in order], np.int64)
 
 
 _ANCHOR_ROWS = "part int, g bigint, hashes binary"
 _MARK_ROWS = "g bigint, part int, bits binary"
-_WINDOW_ROWS = "part int, g bigint, kind int, hashes binary, lows binary, places binary, doc_ids binary, heads binary"
+_WINDOW_ROWS = "part int, g bigint, kind int, hashes binary, lows binary, places binary, doc_ids binary, ranks binary, heads binary"
 _FIRST_ROWS = "g bigint, kind int, part int, bits binary"
 
 
@@ -196,7 +197,7 @@ def _rows(schema: str, rows: list[tuple]) -> pa.Table:
 
 def _emit_anchors(plan: _Plan):
     def emit(key: tuple, table: pa.Table) -> pa.Table:
-        _, texts, _ = _ordered(table)
+        _, texts, _, _ = _ordered(table)
         found = np.unique(plan.anchors(Words(texts))[1])
         g = key[0].as_py()
         return _rows(_ANCHOR_ROWS, [(part, g, found[a:z].tobytes()) for part, a, z in plan.cuts(found)])
@@ -227,7 +228,7 @@ def _emit_windows(plan: _Plan):
     def emit(key: tuple, table: pa.Table, marks: pa.Table) -> pa.Table:
         if not table.num_rows:
             return _rows(_WINDOW_ROWS, [])
-        _, texts, ids = _ordered(table)
+        _, texts, ids, ranks = _ordered(table)
         words = Words(texts)
         at, hashes = plan.anchors(words)
         found, inverse, counts = np.unique(hashes, return_inverse=True, return_counts=True)
@@ -246,11 +247,11 @@ def _emit_windows(plan: _Plan):
             places = first[a:z]
             held = np.unique(np.searchsorted(words.first, places, "right") - 1)
             rows.append((part, g, 0, high[a:z].tobytes(), low[a:z].tobytes(), places.astype(np.uint32).tobytes(),
-                         ids[held].tobytes(), words.first[held].astype(np.uint32).tobytes()))
+                         ids[held].tobytes(), ranks[held].tobytes(), words.first[held].astype(np.uint32).tobytes()))
         chosen = np.zeros(words.n, bool)
         chosen[starts] = True
         # the window starts travel with the decisions to the last step
-        rows.append((g % ranges, g, 1, _bits(chosen), b"", b"", b"", b""))
+        rows.append((g % ranges, g, 1, _bits(chosen), b"", b"", b"", b"", b""))
         return _rows(_WINDOW_ROWS, rows)
     return emit
 
@@ -258,7 +259,7 @@ def _emit_windows(plan: _Plan):
 def _decide_first(key: tuple, table: pa.Table) -> pa.Table:
     """For each group, which of its windows no other document starts earlier."""
     part = key[0].as_py()
-    out, groups, high, low, place, doc = [], [], [], [], [], []
+    out, groups, high, low, place, doc, rank = [], [], [], [], [], [], []
     for row in table.to_pylist():
         if row["kind"] == 1:
             out.append((row["g"], 1, part, row["hashes"]))
@@ -268,11 +269,13 @@ def _decide_first(key: tuple, table: pa.Table) -> pa.Table:
         low.append(np.frombuffer(row["lows"], np.uint32))
         place.append(np.frombuffer(row["places"], np.uint32))
         heads = np.frombuffer(row["heads"], np.uint32)
-        doc.append(np.frombuffer(row["doc_ids"], np.int64)[np.searchsorted(heads, place[-1], "right") - 1])
+        of = np.searchsorted(heads, place[-1], "right") - 1
+        doc.append(np.frombuffer(row["doc_ids"], np.int64)[of])
+        rank.append(np.frombuffer(row["ranks"], np.int64)[of])
     if groups:
         at = np.cumsum([0, *(x.size for x in high)]).tolist()
-        high, low, place, doc = (np.concatenate(x) for x in (high, low, place, doc))
-        order = np.lexsort((place, doc, low, high))
+        high, low, place, doc, rank = (np.concatenate(x) for x in (high, low, place, doc, rank))
+        order = np.lexsort((place, rank, doc, low, high))
         is_first = np.empty(order.size, bool)
         new = np.ones(order.size, bool)
         new[1:] = (high[order][1:] != high[order][:-1]) | (low[order][1:] != low[order][:-1])
@@ -302,7 +305,7 @@ def _removed_words(plan: _Plan, words: Words, decided: pa.Table) -> np.ndarray:
 
 def _remove(plan: _Plan):
     def remove(key: tuple, table: pa.Table, decided: pa.Table) -> pa.Table:
-        table, texts, _ = _ordered(table)
+        table, texts, _, _ = _ordered(table)
         words = Words(texts)
         gone = _removed_words(plan, words, decided)
         total = np.concatenate([[0], np.cumsum(gone)])
@@ -311,30 +314,46 @@ def _remove(plan: _Plan):
         for text, a, z, n in zip(texts, words.first[:-1].tolist(), words.first[1:].tolist(), n_removed.tolist()):
             own = text.split()
             kept.append(b" ".join(compress(own, (~gone[a:z]).tolist()) if n else own))
-        out = table.drop_columns(["g", "bytes"])
+        out = table.drop_columns(["g", "bytes", "rank"])
         out = out.append_column("n_words", pa.array(n_words, pa.int64()))
         out = out.append_column("n_removed", pa.array(n_removed, pa.int64()))
         return out.append_column("kept_text", pa.array(kept, pa.binary()).cast(pa.string()))
     return remove
 
 
+def grouped_rows(docs: DataFrame, groups: int, carry: list[str] | None = None) -> DataFrame:
+    """g, doc_id, bytes, rank of every row, and ``carried``; ``rank`` orders the rows of one doc_id by text."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.encode(text, "UTF-8").alias("bytes"),
+                        *([whole_row(docs, carry).alias("carried")] if carry else []))
+
+    def dealt(rows: DataFrame, *key: str) -> DataFrame:
+        return rows.select(F.pmod(F.xxhash64(*key), F.lit(groups)).alias("g"), *plain.columns, "rank")
+
+    repeated = materialize(plain.groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("id")),
+                           "repeated-ids")
+    if not repeated.head(1):
+        return dealt(plain.withColumn("rank", F.lit(0).cast("long")), "doc_id")
+    same = plain["doc_id"].eqNullSafe(repeated["id"])
+    # the row id splits equal texts over ranges; stored, as ranks must not change between readings
+    ranked = materialize(plain.join(repeated, same, "left_semi").withColumn("row", F.monotonically_increasing_id())
+                         .orderBy("doc_id", "bytes", "row").drop("row")
+                         .withColumn("rank", F.monotonically_increasing_id()), "repeated-rows")
+    single = plain.join(repeated, same, "left_anti").withColumn("rank", F.lit(0).cast("long"))
+    return dealt(single, "doc_id").unionByName(dealt(ranked, "doc_id", "rank"))
+
+
 def remove_repeated_windows(docs: DataFrame, min_words: int = 20, carry: list[str] | None = None,
                             group_chars: int = 3_000_000, range_words: int = 6_000_000) -> DataFrame:
     """doc_id, n_words, n_removed, kept_text (kept words joined by one space) of every row, and ``carry``.
 
     ``carry`` names columns of ``docs`` to pass through, in a struct column ``carried``.
     """
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     groups = max(32, -(-chars // group_chars))
     # words average under 6 characters; a range holds the anchors of about range_words of them
     plan = _Plan(min_words, max(4, int(np.ceil(np.log2(max(1, chars / 6 / range_words))))))
-    grouped = docs.select(
-        # rows without a doc_id are dealt by text: their order among each other is free
-        F.pmod(F.when(F.col("doc_id").isNull(), F.xxhash64(text)).otherwise(F.xxhash64("doc_id")),
-               F.lit(groups)).alias("g"),
-        F.col("doc_id").cast("long").alias("doc_id"), F.encode(text, "UTF-8").alias("bytes"),
-        *([whole_row(docs, carry).alias("carried")] if carry else []))
+    grouped = grouped_rows(docs, groups, carry)
     by_group = grouped.groupBy("g")
     marks = (by_group.applyInArrow(_emit_anchors(plan), _ANCHOR_ROWS)
              .groupBy("part").applyInArrow(_mark_anchors, _MARK_ROWS))

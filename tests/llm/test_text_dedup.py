@@ -64,6 +64,21 @@ def test_repeated_windows_equal_brute_force(make_docs, length, options):
     assert sorted(((r["doc_id"], r["n_words"], r["n_removed"], r["kept_text"]) for r in rows), key=repr) == plain_removal(pairs, length)
 
 
+def test_rows_of_one_doc_id_are_spread_over_groups(make_docs):
+    rng = random.Random(13)
+    text = prose(rng, 30)
+    pairs = [(5, prose(rng, 40) + " " + text) for _ in range(60)] + [(5, text)] * 40
+    pairs += [(None, text + " and more")] * 40 + [(i, prose(rng, 12)) for i in range(6, 26)]
+    rng.shuffle(pairs)
+    docs = make_docs(pairs, parts=5)
+    sizes = defaultdict(int)
+    for r in substring_dedup.grouped_rows(docs, 32).collect():
+        sizes[r["doc_id"] in range(6, 26), r["g"]] += 1
+    assert sum(sizes.values()) == len(pairs) and max(sizes.values()) < 20
+    rows = substring_dedup.remove_repeated_windows(docs, 20).collect()
+    assert sorted(((r["doc_id"], r["n_words"], r["n_removed"], r["kept_text"]) for r in rows), key=repr) == plain_removal(pairs, 20)
+
+
 def test_repeated_windows_carry_columns_and_empty_tables(make_docs):
     docs = make_docs([(1, prose(random.Random(1), 30)), (2, prose(random.Random(1), 30)), (3, None)])
     rows = substring_dedup.remove_repeated_windows(docs, 20, carry=docs.columns).collect()

@@ -172,6 +172,19 @@ def test_packing_places_every_piece(make_docs):
     assert packing.pack_documents(make_docs([]), PATH).count() == 0
 
 
+def test_rows_of_one_doc_id_are_packed_in_many_groups(make_docs):
+    rng = random.Random(14)
+    text = prose(rng, 20)
+    pairs = [(7, text)] * 150 + [(None, prose(rng, rng.randint(1, 30))) for _ in range(150)]
+    rows = packing.pack_documents(make_docs(pairs), PATH, size=64, group_pieces=30).collect()
+    check_packing(rows, pairs, 64)
+    groups = {}
+    for r in rows:
+        groups[r["sequence_id"] >> 32] = groups.get(r["sequence_id"] >> 32, 0) + 1
+    # 600 pieces at most, 30 a group on average
+    assert max(groups.values()) < 80
+
+
 def test_packing_reads_only_ids_and_texts(make_docs):
     docs = make_docs([(1, "a b"), (2, None)]).withColumn("length", F.lit(-1)).withColumn("sequence_id", F.lit("z"))
     assert sorted(r["length"] for r in packing.pack_documents(docs, PATH).collect()) == [1, 3]
