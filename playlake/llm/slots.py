@@ -11,8 +11,8 @@ Slot sums have a fixed number of rows (``slots`` times ``CELLS`` at most), so th
 broadcast; the greedy placement works on one array of ``slots`` entries.
 
 Edge cases: a null text has size 1 (no bytes, plus 1) and CRC 0; a null doc_id is hashed like a
-value; repeated rows share a slot and get places of their own; an empty table gives no
-rows; only doc_id and text are read.
+value; rows repeated in doc_id, CRC and size are spread over slots by a stored row id; an empty
+table gives no rows; only doc_id and text are read.
 """
 
 from __future__ import annotations
@@ -29,12 +29,21 @@ CELLS = 16
 
 def measured(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
     """doc_id, size, text_crc32, vslot, cell of every row."""
+    key = ["doc_id", "text_crc32", "size"]
     raw = F.encode(text_or_empty(), "UTF-8")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        (F.octet_length(raw) + 1).cast("long").alias("size"), F.crc32(raw).alias("text_crc32"))
+    rows = materialize(rows.withColumn("row", F.monotonically_increasing_id()), "slot-sizes")
+    repeated = materialize(rows.groupBy(*key).count().filter("count > 1").select(F.struct(*key).alias("k")), "slot-repeats")
     h = F.xxhash64(F.coalesce("doc_id", F.lit(-1)), "text_crc32", "size")
+    if repeated.head(1):
+        same = [rows[c].eqNullSafe(repeated["k"][c]) for c in key]
+        rows = rows.join(repeated, same, "left")
+        h = F.when(F.col("k").isNull(), h).otherwise(F.xxhash64(h, "row"))
+    rows = rows.select(*rows.columns[:3], h.alias("h"))
+    h = F.col("h")
     return (rows.withColumn("vslot", F.pmod(h, F.lit(slots)).cast("int"))
-            .withColumn("cell", F.pmod(F.shiftright(h, 32), F.lit(CELLS)).cast("int")))
+            .withColumn("cell", F.pmod(F.shiftright(h, 32), F.lit(CELLS)).cast("int")).drop("h"))
 
 
 def first_map(spark: SparkSession, shards: int, slots: int = SLOTS) -> DataFrame:

@@ -63,6 +63,19 @@ def test_rebalancing_moves_little(spark, tmp_path):
     assert {(r["version"], r["count"]) for r in versions} == {(1, 256), (2, 256)}
 
 
+def test_copies_of_one_row_are_spread_over_shards(make_docs):
+    pairs = [(7, "one copy of many")] * 300 + [(None, "no id")] * 300 + [(i, f"text {i} " * 3) for i in range(300, 600)]
+    rows = slots.shard_documents(make_docs(pairs), shards=8).collect()
+    check_shards(rows, pairs, 8)
+    for i in (7, None):
+        own = [r["vslot"] for r in rows if r["doc_id"] == i]
+        assert max(own.count(v) for v in set(own)) < 10
+    loads = defaultdict(int)
+    for r in rows:
+        loads[r["shard"]] += r["size"]
+    assert max(loads.values()) < 1.05 * sum(loads.values()) / 8
+
+
 # ---------------------------------------------------------------- web archive
 
 PAGES = T.StructType([T.StructField("page_id", T.LongType()), T.StructField("url", T.StringType()),
