@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playlake.config import RunWindow, Settings
-from playlake.operators.intervals import point_in_interval_join
+from playlake.operators.asof import as_of_join
 from playlake.operators.quality import quality_report
 from playlake.plans.expectations import STAGING_MODELS, for_models
 from playlake.operators.upsert import upsert
@@ -372,7 +372,7 @@ def q_interval_edge_cases(spark, sf):
                    .unionByName(periods("century", moment("1950-06-01 00:00:00"), F.col("b"), per))
                    .unionByName(periods("session", F.col("session_start_ts"), F.col("session_end_ts"), s))
                    .unionByName(periods("backwards", F.col("c"), F.col("a"), per)))
-    met = point_in_interval_join(points, all_periods, "device_id", "period_device", "at", "opens", "closes", closed_end=True)
+    met = as_of_join(points, all_periods, "device_id", "at", "period_device", "opens", "closes", closed=True)
     return met.groupBy("session_id", "at").agg(
         F.count("kind").alias("periods"), *[F.count(F.when(F.col("kind") == k, 1)).alias(f"{n}_periods")
                                             for n, k in (("open", "open"), ("long", "century"), ("session", "session"))])

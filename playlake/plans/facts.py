@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playlake.functions import first_value_by, ntz
-from playlake.operators.intervals import point_in_interval_join
+from playlake.operators.asof import as_of_join
 from playlake.operators.joins import left_join_known
 from playlake.operators.topk import top1_per_key
 from playlake.operators.upsert import upsert
@@ -33,7 +33,10 @@ def fct_sessions(sessions: DataFrame, users: DataFrame, devices_scd: DataFrame,
                  target: DataFrame | None = None) -> DataFrame:
     """Sessions enriched from the user dim, the device version valid at the
     session start (half-open period) and the device dim.  With ``target``: the table
-    after the MERGE; without: the MERGE source."""
+    after the MERGE; without: the MERGE source.
+
+    A device's versions follow one another (J11 closes each at the next one's start), so the
+    version is carried along the device's sessions; the plan checks that no two overlap."""
     u = users.select(F.col("user_id").alias("_u"), *[F.col(c).alias(f"_u_{c}") for c in
                                                        ("country", "city", "language", "territory")])
     scd = devices_scd.select(F.col("device_id").alias("_sd"), F.col("valid_from").alias("_vf"),
@@ -43,7 +46,7 @@ def fct_sessions(sessions: DataFrame, users: DataFrame, devices_scd: DataFrame,
                        F.col("device_model").alias("_d_model"))
     # sessions without a user match no one: they bypass the join and don't meet in one task
     j = left_join_known(sessions, u, "user_id", "_u")
-    j = point_in_interval_join(j, scd, "device_id", "_sd", "session_start_ts", "_vf", "_vt", closed_end=False)
+    j = as_of_join(j, scd, "device_id", "session_start_ts", "_sd", "_vf", "_vt", overlapping=False)
     j = left_join_known(j, d, "device_id", "_dd")
     out = j.select("session_id", "user_id", "device_id", "session_start_ts", "session_end_ts",
                    "session_length_seconds", "event_count",

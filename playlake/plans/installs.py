@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from playlake.config import INFINITY_ATTRIBUTION, INFINITY_USER_MATCH, RunWindow, Settings
 from playlake.functions import fingerprint64, ntz, start_of_day, surrogate_key
-from playlake.operators.intervals import point_in_interval_join, starts_within_join
-from playlake.operators.joins import left_join_known
+from playlake.operators.asof import as_of_join, prioritized_match
+from playlake.operators.cascade import Rule, cascade_join
+from playlake.operators.scd import scd2_by_version_hash
 from playlake.operators.topk import top1_per_key
 from playlake.operators.upsert import upsert
 
@@ -56,36 +57,28 @@ def stg_attribution(organic: DataFrame, paid: DataFrame, window: RunWindow) -> D
     return o.unionByName(p).select(*STG_ATTRIBUTION_COLUMNS)
 
 
-def _earliest_device_by(devices: DataFrame, key: str) -> DataFrame:
-    """Per lookup value: the device with the earliest first touch (ties: smallest id).
-
-    Equivalent to joining every matching device row and keeping the earliest,
-    but pre-reduced to one row per key so the join cannot fan out."""
-    d = devices.filter(F.col(key).isNotNull())
-    best = F.min_by(F.struct("device_id", "first_touch_timestamp"), F.struct("first_touch_timestamp", "device_id"))
-    return d.groupBy(key).agg(best.alias("_m")).select(
-        F.col(key).alias("_lk"), F.col("_m.device_id").alias("_dev"), F.col("_m.first_touch_timestamp").alias("_ft"))
+#: the rules of the device match, first to last
+CASCADE = (("joined_on_appsflyerid_af_id", "appsflyerid", "af_id", None),
+           ("joined_on_android_advertisingid_adid", "advertisingid", "adid", "android"),
+           ("joined_on_ios_idfv_idfv", "attr_idfv", "idfv", "ios"))
 
 
 def cascade_device_match(attribution: DataFrame, devices: DataFrame) -> DataFrame:
-    """af_id, else android advertising id, else ios idfv; records the rule."""
-    prim = _earliest_device_by(devices, "af_id").toDF("_k1", "_d1", "_f1")
-    andr = _earliest_device_by(devices, "adid").toDF("_k2", "_d2", "_f2")
-    ios = _earliest_device_by(devices, "idfv").toDF("_k3", "_d3", "_f3")
+    """af_id, else android advertising id, else ios idfv; records the rule.
+
+    Of the devices with a value the one with the earliest first touch is taken (ties: smallest id), which
+    equals joining every one of them and keeping the earliest."""
     a = attribution.select("mediasource", "campaign", "adset", "installtime", "platform",
                            F.col("unique_id").alias("attribution_unique_id"), "appsflyerid", "advertisingid",
                            F.col("idfv").alias("attr_idfv"))
-    # a rule's rows without a value, or matched before, bypass its join
-    a = left_join_known(a, prim, "appsflyerid", "_k1")
-    a = left_join_known(a, andr, "advertisingid", "_k2", (F.col("platform") == "android") & F.col("_k1").isNull())
-    a = left_join_known(a, ios, "attr_idfv", "_k3", (F.col("platform") == "ios") & F.col("_k1").isNull() & F.col("_k2").isNull())
-    method = (F.when(F.col("_d1").isNotNull(), "joined_on_appsflyerid_af_id")
-              .when(F.col("_d2").isNotNull(), "joined_on_android_advertisingid_adid")
-              .when(F.col("_d3").isNotNull(), "joined_on_ios_idfv_idfv")
-              .otherwise("no_device_match"))
-    return a.select("appsflyerid", F.coalesce("_d1", "_d2", "_d3").alias("device_id"), "mediasource", "campaign",
-                    "adset", "installtime", "platform", F.coalesce("_f1", "_f2", "_f3").alias("first_touch_timestamp"),
-                    "attribution_unique_id", method.alias("join_method"))
+    rules = [Rule(name, left, right, None if platform is None else F.col("platform") == platform)
+             for name, left, right, platform in CASCADE]
+    m = cascade_join(a, devices, rules, take=["device_id", "first_touch_timestamp"],
+                     prefer=["first_touch_timestamp", "device_id"], no_match="no_device_match",
+                     deal_by=["attribution_unique_id"])
+    method = F.when(F.col("device_id").isNull(), F.lit("no_device_match")).otherwise(F.col("join_method"))
+    return m.select("appsflyerid", "device_id", "mediasource", "campaign", "adset", "installtime", "platform",
+                    "first_touch_timestamp", "attribution_unique_id", method.alias("join_method"))
 
 
 def int_device_attributed_installs(attribution: DataFrame, devices: DataFrame) -> DataFrame:
@@ -102,27 +95,22 @@ def fct_device_attributed_installs(dai: DataFrame, target: DataFrame | None = No
     return upsert(target, src, ["attribution_unique_id"], policy="append_new_columns")
 
 
-def user_attributed_installs(installs: DataFrame, device_users: DataFrame, settings: Settings = Settings()) -> DataFrame:
+def user_attributed_installs(installs: DataFrame, device_users: DataFrame, settings: Settings = Settings(),
+                             overlapping: bool | None = None) -> DataFrame:
     """The user of the device at install time (type 1), else the user whose
     period starts within the look-ahead after the install (type 2, nearest
     whole-day distance, then earliest start).  Installs with neither vanish.
 
-    Type-1 candidates come from a day-bucketed point-in-interval join, type-2
-    candidates from a join on the few days of the look-ahead span; the winner per
-    install is a partial aggregate.  No device compares all its installs with all
-    its periods."""
+    Both are carried along the device's timeline of installs and period starts, so there is no
+    list of candidates (``prioritized_match``); one row an attribution id is kept at the end."""
     ahead = dt.timedelta(days=settings.user_match_lookahead_days)
     m = device_users.select(F.col("device_id").alias("_dev"), F.col("user_id").alias("_user"),
                             F.col("valid_from").alias("_vf"),
                             F.coalesce(F.col("valid_to"), ntz(INFINITY_USER_MATCH)).alias("_vt"))
-    t = F.col("install_time_mmp")
     keep = [*UAI_COLUMNS[:3], *UAI_COLUMNS[4:]]
-    inside = point_in_interval_join(installs.select(*keep), m, "device_id", "_dev", "install_time_mmp", "_vf", "_vt",
-                                    closed_end=False, how="inner").withColumn("_prio", F.lit(1))
-    soon = starts_within_join(installs.select(*keep), m, "device_id", "_dev", "install_time_mmp", "_vf", ahead,
-                              extra=F.col("_vt") > t).withColumn("_prio", F.lit(2))
-    cand = inside.unionByName(soon)
-    days = F.timestamp_diff("DAY", t, F.col("_vf"))
+    cand = prioritized_match(installs.select(*keep), m, "device_id", "install_time_mmp", "_dev", "_vf", "_vt", ahead,
+                             overlapping=overlapping, bucket_hours=settings.timeline_bucket_hours, match="_prio")
+    days = F.timestamp_diff("DAY", F.col("install_time_mmp"), F.col("_vf"))
     cand = cand.withColumn("_days", F.when(F.col("_prio") == 2, days).otherwise(F.lit(0))).withColumnRenamed(
         "_user", "user_id")
     best = top1_per_key(cand.select(*UAI_COLUMNS, "_prio", "_days", "_vf"), ["attribution_unique_id"],
@@ -130,10 +118,10 @@ def user_attributed_installs(installs: DataFrame, device_users: DataFrame, setti
     return best.select(*UAI_COLUMNS)
 
 
-def _mapping_source(dai: DataFrame, device_users: DataFrame) -> DataFrame:
+def _mapping_source(dai: DataFrame, device_users: DataFrame, overlapping: bool | None) -> DataFrame:
     u = device_users.select(F.col("device_id").alias("_dev"), "dim_device_user_sk", "user_id",
                             F.col("valid_from").alias("_vf"), F.col("valid_to").alias("_vt"))
-    j = point_in_interval_join(dai, u, "device_id", "_dev", "installtime", "_vf", "_vt", closed_end=True, how="left")
+    j = as_of_join(dai, u, "device_id", "installtime", "_dev", "_vf", "_vt", closed=True, overlapping=overlapping)
     vh = surrogate_key("dim_device_user_sk", "mediasource", "campaign", "adset", "platform", "join_method")
     return j.select("attribution_unique_id", "appsflyerid", "device_id", "mediasource", "campaign", "adset",
                     "installtime", "platform", "first_touch_timestamp", "join_method", "dim_device_user_sk",
@@ -141,30 +129,21 @@ def _mapping_source(dai: DataFrame, device_users: DataFrame) -> DataFrame:
 
 
 def attribution_mapping(dai: DataFrame, device_users: DataFrame, run_ts: dt.datetime,
-                        target: DataFrame | None = None) -> DataFrame:
+                        target: DataFrame | None = None, overlapping: bool | None = None) -> DataFrame:
     """SCD2 by version hash.  First run: every row opens at ``run_ts``.
     Later runs emit new versions (new key, or changed hash) opened at ``run_ts``
-    and the active versions they replace, closed at the same instant."""
-    src = _mapping_source(dai, device_users)
+    and the active versions they replace, closed at the same instant.
+
+    ``overlapping``: whether periods of a device in ``device_users`` overlap.  A first run of J12 makes none; its merges
+    may leave stale ones.  None: looked up by a job over the periods."""
     ts = ntz(run_ts)
-    inf = ntz(INFINITY_ATTRIBUTION)
-    if target is None:
-        return src.select(surrogate_key(F.col("attribution_unique_id"), ts).alias(MAPPING_COLUMNS[0]),
-                          *src.columns, ts.alias("valid_from"), inf.alias("valid_to")).select(*MAPPING_COLUMNS)
-    active = target.filter(F.col("valid_to") == inf)
-    act = active.select(F.col("attribution_unique_id").alias("_aid"), F.col("version_hash").alias("_ah"))
-    changed = (src.join(act, F.col("attribution_unique_id") == F.col("_aid"), "left")
-                  .filter(F.col("_aid").isNull() | (F.col("version_hash") != F.col("_ah")))
-                  .drop("_aid", "_ah"))
-    inserts = changed.select(surrogate_key(F.col("attribution_unique_id"), ts).alias(MAPPING_COLUMNS[0]),
-                             *changed.columns, ts.alias("valid_from"), inf.alias("valid_to"))
-    closing = (active.join(changed.select(F.col("attribution_unique_id").alias("_cid")),
-                           F.col("attribution_unique_id") == F.col("_cid"), "inner")
-                     .drop("_cid").withColumn("valid_to", ts))
-    return inserts.select(*MAPPING_COLUMNS).unionByName(closing.select(*MAPPING_COLUMNS))
+    out = scd2_by_version_hash(target, _mapping_source(dai, device_users, overlapping), "attribution_unique_id",
+                               "version_hash", ts, ntz(INFINITY_ATTRIBUTION), MAPPING_COLUMNS[0],
+                               surrogate_key(F.col("attribution_unique_id"), ts))
+    return out.select(*MAPPING_COLUMNS)
 
 
 def attribution_mapping_merged(dai: DataFrame, device_users: DataFrame, run_ts: dt.datetime,
-                               target: DataFrame | None = None) -> DataFrame:
-    out = attribution_mapping(dai, device_users, run_ts, target)
+                               target: DataFrame | None = None, overlapping: bool | None = None) -> DataFrame:
+    out = attribution_mapping(dai, device_users, run_ts, target, overlapping)
     return upsert(target, out, [MAPPING_COLUMNS[0]], policy="sync_all_columns")
