@@ -20,8 +20,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from playlake.plans import ads, facts, installs  # noqa: E402
-from playlake.plans.catalog import (RUN_TS, WINDOW, Inputs, q_merge_null_day,  # noqa: E402
-                                    q_merge_schema_evolution)
+from playlake.plans.catalog import Inputs, q_merge_null_day, q_merge_schema_evolution  # noqa: E402
 from playlake.session import build_session  # noqa: E402
 
 
@@ -48,13 +47,13 @@ def main() -> None:
             ("user_attributed_installs", lambda: run(installs.user_attributed_installs(i.fct_dai(),
                                                                                        i.dim_device_users_scd()))),
             ("attribution_mapping_full", lambda: run(installs.attribution_mapping(i.dai(), i.dim_device_users_scd(),
-                                                                                  RUN_TS[""]))),
+                                                                                  i.run_ts))),
             ("dim_users", lambda: run(i.dim_users())),
             ("fct_sessions", lambda: run(i.fct_sessions())),
             ("fct_events", lambda: run(i.fct_events())),
             ("fct_user_acquisition_daily", lambda: run(ads.fct_user_acquisition_daily(i.ad_platform(),
                                                                                       i.daily_installs()))),
-            ("user_activity", lambda: run(facts.user_activity(i.stg_events(), i.dim_users(), WINDOW.as_of))),
+            ("user_activity", lambda: run(facts.user_activity(i.stg_events(), i.dim_users(), i.window.as_of))),
             ("merge_null_day", lambda: run(q_merge_null_day(spark, sf_dir))),
             ("merge_schema_evolution", lambda: run(q_merge_schema_evolution(spark, sf_dir))),
         ]

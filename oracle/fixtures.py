@@ -2,12 +2,15 @@
 
 Mirrors playlake.sources.fixtures in SQL (same expressions, DuckDB dialect).
 Each function returns CTE text for one part of the data: ``part`` is '' for the
-whole table, '_p1' for ts < 2024-01-20 and '_p2' for ts >= 2024-01-20.
+whole table, '_p1' and '_p2' for the events before and from SPLIT on.
 """
 
 from playlake.sources.seed import EVENT_SOURCES
 
-SPLIT = "TIMESTAMP '2024-01-20 00:00:00'"
+# the days of the table: the first, the one after the last, and the split 19 thirtieths in
+START = "(SELECT min(ts)::DATE FROM events)"
+END = "(SELECT max(ts)::DATE + 1 FROM events)"
+SPLIT = "(SELECT (min(ts)::DATE + CAST((max(ts)::DATE + 1 - min(ts)::DATE) * 19 // 30 AS INTEGER))::TIMESTAMP FROM events)"
 
 
 def base(q, part: str = "") -> None:

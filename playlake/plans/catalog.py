@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playlake.config import RunWindow, Settings
+from playlake.functions import ntz
 from playlake.operators.asof import as_of_join
 from playlake.operators.quality import quality_report
 from playlake.plans.expectations import STAGING_MODELS, for_models
@@ -25,21 +26,24 @@ from playlake.sources import fixtures as fx
 from playlake.sources.seed import event_sources
 from playlake.sources.sinks import materialize, merge_into_table, read_table, scratch_path
 
-#: the driver's events all lie in January 2024; other data needs its own window
-WINDOW = RunWindow(dt.date(2024, 1, 1), dt.date(2024, 1, 31), dt.datetime(2024, 1, 31))
-SPLIT = dt.datetime(2024, 1, 20)
-RUN_TS = {"p1": dt.datetime(2024, 1, 20), "p2": dt.datetime(2024, 1, 31), "": dt.datetime(2024, 1, 31)}
+def table_window(spark: SparkSession, sf_dir: str) -> RunWindow:
+    """The whole table: from the day of its first event to the day after its last; run at that day's start."""
+    first, last = fx.read_events(spark, sf_dir).agg(F.to_date(F.min("ts")), F.to_date(F.max("ts"))).first()
+    return RunWindow.resolve(first, last and last + dt.timedelta(days=1))
 
 
 class Inputs:
     """Lazily derived sources and upstream jobs for one data part.
 
+    ``window``: the days that the jobs process; by default all days of the table.  Parts 'p1' and 'p2'
+    are the events before and from ``split`` on, some two thirds into the window.
     ``shared``: where it is a dict, all instances for one part share their stored tables."""
 
     shared: dict | None = None
 
-    def __init__(self, spark: SparkSession, sf_dir: str, part: str = "") -> None:
+    def __init__(self, spark: SparkSession, sf_dir: str, part: str = "", window: RunWindow | None = None) -> None:
         self.spark, self.sf_dir, self.part = spark, sf_dir, part
+        self.window = window or table_window(spark, sf_dir)
         self._cache: dict[str, DataFrame] = {} if self.shared is None else self.shared.setdefault((sf_dir, part), {})
 
     def _memo(self, key: str, fn: Callable[[], DataFrame]) -> DataFrame:
@@ -47,9 +51,18 @@ class Inputs:
             self._cache[key] = fn()
         return self._cache[key]
 
+    @property
+    def split(self) -> dt.datetime:
+        days = (self.window.end - self.window.start).days * 19 // 30
+        return dt.datetime.combine(self.window.start + dt.timedelta(days=days), dt.time())
+
+    @property
+    def run_ts(self) -> dt.datetime:
+        return self.split if self.part == "p1" else self.window.as_of
+
     def events(self) -> DataFrame:
         ev = fx.read_events(self.spark, self.sf_dir)
-        split = F.lit(SPLIT.isoformat(sep=" ")).cast("timestamp_ntz")
+        split = ntz(self.split)
         if self.part == "p1":
             return ev.filter(F.col("ts") < split)
         if self.part == "p2":
@@ -62,7 +75,7 @@ class Inputs:
     def stg_events(self) -> DataFrame:
         """Staging table (materialized, as in the reference)."""
         return self._memo("stg_events", lambda: materialize(J1.stg_events(
-            fx.raw_event_log(self.events()), event_sources(self.spark), WINDOW), f"stg_events{self.part}"))
+            fx.raw_event_log(self.events()), event_sources(self.spark), self.window), f"stg_events{self.part}"))
 
     def stg_sessions(self, timeout: int = 10) -> DataFrame:
         """Staging table (materialized, as in the reference)."""
@@ -70,13 +83,17 @@ class Inputs:
             self.stg_events(), Settings(session_timeout_minutes=timeout)), f"stg_sessions{self.part}"))
 
     def stg_devices(self) -> DataFrame:
-        return self._memo("stg_devices", lambda: devices.stg_devices(self.stg_sessions()))
+        return self._memo("stg_devices", lambda: materialize(devices.stg_devices(self.stg_sessions()),
+                                                             f"stg_devices{self.part}"))
 
     def dim_devices(self) -> DataFrame:
-        return self._memo("dim_devices", lambda: devices.dim_devices(self.stg_devices()))
+        """Dimensions are tables in the reference, with several consumers: written once."""
+        return self._memo("dim_devices", lambda: materialize(devices.dim_devices(self.stg_devices()),
+                                                             f"dim_devices{self.part}"))
 
     def dim_devices_scd(self) -> DataFrame:
-        return self._memo("dim_devices_scd", lambda: devices.dim_devices_scd(self.stg_devices()))
+        return self._memo("dim_devices_scd", lambda: materialize(devices.dim_devices_scd(self.stg_devices()),
+                                                                 f"dim_devices_scd{self.part}"))
 
     def dim_device_users_scd(self) -> DataFrame:
         """An incremental table in the reference with several consumers: written once."""
@@ -85,8 +102,8 @@ class Inputs:
 
     def stg_attribution(self) -> DataFrame:
         ev = self.events()
-        return self._memo("stg_attribution", lambda: installs.stg_attribution(
-            fx.organic_installs_report(ev), fx.paid_installs_report(ev), WINDOW))
+        return self._memo("stg_attribution", lambda: materialize(installs.stg_attribution(
+            fx.organic_installs_report(ev), fx.paid_installs_report(ev), self.window), f"stg_attribution{self.part}"))
 
     def dai(self) -> DataFrame:
         """A view with three consumers: written once (fan-out point)."""
@@ -97,12 +114,13 @@ class Inputs:
         return self._memo("fct_dai", lambda: installs.fct_device_attributed_installs(self.dai()))
 
     def dim_users(self) -> DataFrame:
-        return self._memo("dim_users", lambda: facts.dim_users(self.stg_sessions(), self.dai(),
-                                                               self.stg_attribution()))
+        return self._memo("dim_users", lambda: materialize(facts.dim_users(
+            self.stg_sessions(), self.dai(), self.stg_attribution()), f"dim_users{self.part}"))
 
     def fct_sessions(self) -> DataFrame:
-        return self._memo("fct_sessions", lambda: facts.fct_sessions(
-            self.stg_sessions(), self.dim_users(), self.dim_devices_scd(), self.dim_devices()))
+        """A table in the reference, read by the event fact: written once."""
+        return self._memo("fct_sessions", lambda: materialize(facts.fct_sessions(
+            self.stg_sessions(), self.dim_users(), self.dim_devices_scd(), self.dim_devices()), f"fct_sessions{self.part}"))
 
     def fct_events(self, target: DataFrame | None = None) -> DataFrame:
         return facts.fct_events(self.stg_events(), self.fct_sessions(), target)
@@ -113,7 +131,7 @@ class Inputs:
     def google(self) -> DataFrame:
         ev = self.events()
         return ads.stg_google_ads(fx.google_ad_group_stats(ev), fx.google_ad_groups(ev), fx.google_campaigns(ev),
-                                  WINDOW.as_of)
+                                  self.window.as_of)
 
     def ad_platform(self) -> DataFrame:
         return ads.int_ad_platform(self.facebook(), self.google())
@@ -135,7 +153,8 @@ def _open_end_as_text(df: DataFrame) -> DataFrame:
 
 
 def _parts(spark: SparkSession, sf: str) -> tuple[Inputs, Inputs]:
-    return Inputs(spark, sf, "p1"), Inputs(spark, sf, "p2")
+    first = Inputs(spark, sf, "p1")
+    return first, Inputs(spark, sf, "p2", first.window)
 
 
 def q_stg_events(spark, sf):
@@ -224,15 +243,15 @@ def q_user_attributed_installs(spark, sf):
 
 def q_attribution_mapping_full(spark, sf):
     i = Inputs(spark, sf)
-    return _open_end_as_text(installs.attribution_mapping(i.dai(), i.dim_device_users_scd(), RUN_TS[""]))
+    return _open_end_as_text(installs.attribution_mapping(i.dai(), i.dim_device_users_scd(), i.run_ts))
 
 
 def q_attribution_mapping_incremental(spark, sf):
     p1, p2 = _parts(spark, sf)
-    first = installs.attribution_mapping(p1.dai(), p1.dim_device_users_scd(), RUN_TS["p1"])
+    first = installs.attribution_mapping(p1.dai(), p1.dim_device_users_scd(), p1.run_ts)
     # the second run reads the device->user dimension as merged by its own second run
     ddu = users.dim_device_users_scd_merged(p2.stg_sessions(), p1.dim_device_users_scd())
-    return _open_end_as_text(installs.attribution_mapping_merged(p2.dai(), ddu, RUN_TS["p2"], first))
+    return _open_end_as_text(installs.attribution_mapping_merged(p2.dai(), ddu, p2.run_ts, first))
 
 
 def q_dim_users(spark, sf):
@@ -275,7 +294,7 @@ def q_fct_user_acquisition_daily(spark, sf):
 
 def q_user_activity(spark, sf):
     i = Inputs(spark, sf)
-    return facts.user_activity(i.stg_events(), i.dim_users(), WINDOW.as_of)
+    return facts.user_activity(i.stg_events(), i.dim_users(), i.window.as_of)
 
 
 STAGING_EXPECTATIONS = for_models(STAGING_MODELS)
@@ -296,9 +315,9 @@ def q_quality_report_marts(spark, sf):
     """The fact/dimension/source expectations; declared columns a model does not
     output (e.g. platform of the device-version dimension) report NULL."""
     i = Inputs(spark, sf)
-    # several passes read these two, and the second builds on the first: written once
-    sessions = materialize(i.fct_sessions(), "fct_sessions")
-    events = materialize(facts.fct_events(i.stg_events(), sessions), "fct_events")
+    # several passes read the event fact too
+    sessions = i.fct_sessions()
+    events = materialize(i.fct_events(), "fct_events")
     models = {"fct_sessions": sessions, "fct_events": events, "dim_users": i.dim_users(),
               "dim_devices_scd": i.dim_devices_scd(), "analytics_events_table": fx.raw_event_log(i.events()),
               "p_ads_AdGroup": fx.google_ad_groups(i.events())}
@@ -313,29 +332,36 @@ def q_upsert_schema_sync(spark, sf):
     return upsert(target, p2.stg_events(), ["event_id"], policy="sync_all_columns")
 
 
+#: days that both deliveries of the merge queries hold
+OVERLAP = dt.timedelta(days=3)
+
+
+def _deliveries(spark, sf):
+    """All events in two deliveries; the days around the split come in both."""
+    i = Inputs(spark, sf)
+    ev = fx.read_events(spark, sf)
+    return ev.filter(F.col("ts") < ntz(i.split + OVERLAP)), ev.filter(F.col("ts") >= ntz(i.split))
+
+
 def q_merge_null_day(spark, sf):
     """Two deliveries merged into a stored day-partitioned table and read back.
 
     Every seventh event has no time (the NULL day); the second delivery moves rows between days."""
-    ev = fx.read_events(spark, sf)
+    first, second = _deliveries(spark, sf)
     timed = F.col("event_id") % 7 != 0
-    first = ev.filter("event_id % 2 = 0").select(F.col("event_id").alias("k"), F.when(timed, F.col("ts")).alias("ts"),
-                                                 F.lit("first").alias("v"))
     later = F.col("ts") + F.make_dt_interval(F.col("event_id") % 4)
-    second = ev.filter("event_id % 3 = 0").select(F.col("event_id").alias("k"), F.when(timed, later).alias("ts"),
-                                                  F.lit("second").alias("v"))
     path = scratch_path(spark, "merge_null_day")
-    for delivery in (first, second):
-        merge_into_table(delivery, path, ["k"], partition_day_of="ts")
+    for delivery, ts, name in ((first, F.col("ts"), "first"), (second, later, "second")):
+        rows = delivery.select(F.col("event_id").alias("k"), F.when(timed, ts).alias("ts"), F.lit(name).alias("v"))
+        merge_into_table(rows, path, ["k"], partition_day_of="ts")
     return read_table(spark, path, "ts_day").drop("ts_day")
 
 
 def q_merge_schema_evolution(spark, sf):
-    """A delivery for the last days with a new and without an old column, under both policies."""
-    ev = fx.read_events(spark, sf)
-    first = ev.filter("event_id % 2 = 0").select(F.col("event_id").alias("k"), "ts", F.col("event_type").alias("old_col"))
-    last_days = (F.col("event_id") % 3 == 0) & (F.col("ts") >= F.lit("2024-01-25 00:00:00").cast("timestamp_ntz"))
-    second = ev.filter(last_days).select(F.col("event_id").alias("k"), "ts", F.col("value").alias("new_col"))
+    """A second delivery with a new and without an old column, under both policies."""
+    first, second = _deliveries(spark, sf)
+    first = first.select(F.col("event_id").alias("k"), "ts", F.col("event_type").alias("old_col"))
+    second = second.select(F.col("event_id").alias("k"), "ts", F.col("value").alias("new_col"))
     found = []
     for policy in ("append_new_columns", "sync_all_columns"):
         path = scratch_path(spark, "merge_schema")

@@ -26,6 +26,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # call sites are not looked up for each Column: the plans here have hundreds of them
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
@@ -38,15 +40,19 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+#: the scratch folder of a local session that names none (tests)
+_scratch: str | None = None
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster (spark.checkpoint.dir).
 
-    Only when the setting is absent in a local session (tests) is a scratch folder created
-    and registered.  On a cluster a machine-local folder would lose rows, so there the
-    setting must be given.
+    Only when the setting is absent in a local session (tests) is a scratch folder created,
+    once a process.  On a cluster, or over Spark Connect, a machine-local folder would lose rows, so
+    there the setting must be given.
     """
+    global _scratch
     d = spark.conf.get("spark.checkpoint.dir", None)
-    sc = None
     try:
         sc = spark.sparkContext  # absent on Spark Connect sessions
     except Exception:  # noqa: BLE001
@@ -54,11 +60,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not d and sc is not None:
         d = sc.getCheckpointDir()
     if not d:
-        master = spark.conf.get("spark.master", "local")
+        master = sc.master if sc is not None else "a remote session"
         if not re.fullmatch(r"local(\[[^\]]*\])?", master):
             raise RuntimeError(f"set spark.checkpoint.dir to a folder that all machines of {master} share")
-        d = tempfile.mkdtemp(prefix="playlake-ckpt-", dir=os.environ.get("PLAYLAKE_SCRATCH", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", d)
+        if _scratch is None:
+            _scratch = tempfile.mkdtemp(prefix="playlake-ckpt-", dir=os.environ.get("PLAYLAKE_SCRATCH", "/tmp"))
+        d = _scratch
     if sc is not None:
         sc.setCheckpointDir(d)
     return d

@@ -12,6 +12,7 @@ import datetime as dt
 import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,27 +47,32 @@ def write_table(df: DataFrame, path: str, partition_day_of: str | None = None,
     w.parquet(path)
 
 
-_scopes: list[list[str]] = []
+#: the paths made in the innermost scope of this thread (or task); None outside of any
+_scope: ContextVar[list[str] | None] = ContextVar("scratch_scope", default=None)
 
 
 @contextmanager
 def scratch_scope(spark: SparkSession) -> Iterator[None]:
     """Temporary tables made inside (``materialize``, merge staging) are removed at the end.
 
-    Results that are still lazy must be written before the scope ends."""
-    _scopes.append([])
+    Results that are still lazy must be written before the scope ends.  A scope is its thread's own:
+    what a stream or another thread makes meanwhile isn't in it."""
+    token = _scope.set([])
     try:
         yield
     finally:
-        for path in _scopes.pop():
+        paths = _scope.get() or []
+        _scope.reset(token)
+        for path in paths:
             _delete(spark, path)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the checkpoint folder, removed with the scope it is made in."""
     path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
-    if _scopes:
-        _scopes[-1].append(path)
+    made = _scope.get()
+    if made is not None:
+        made.append(path)
     return path
 
 

@@ -1,3 +1,4 @@
+import datetime as dt
 import os
 import sys
 
@@ -5,6 +6,11 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from playlake.config import RunWindow  # noqa: E402
+
+#: the days of the driver's events
+WINDOW = RunWindow(dt.date(2024, 1, 1), dt.date(2024, 1, 31), dt.datetime(2024, 1, 31))
+
 
 @pytest.fixture(scope="session")
 def spark():

@@ -31,8 +31,9 @@ def _same(a, b):
 @pytest.mark.skipif(not os.path.exists(SF), reason="fixture tables not present")
 def test_two_runs_match_incremental_queries(spark):
     wh = tempfile.mkdtemp(prefix="playlake-wh-")
-    run_pipeline(spark, _sources(spark, "p1"), wh, catalog.WINDOW, catalog.RUN_TS["p1"])
-    paths = run_pipeline(spark, _sources(spark, "p2"), wh, catalog.WINDOW, catalog.RUN_TS["p2"])
+    for part in ("p1", "p2"):
+        i = catalog.Inputs(spark, SF, part)
+        paths = run_pipeline(spark, _sources(spark, part), wh, i.window, i.run_ts)
 
     def table(name, day=None):
         df = spark.read.parquet(paths[name])

@@ -7,7 +7,7 @@ import tempfile
 
 import pytest
 
-from playlake.plans.catalog import WINDOW
+from tests.conftest import WINDOW
 from playlake.plans.events import stg_events
 from playlake.sources import fixtures as fx
 from playlake.sources.seed import event_sources

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from playlake.config import Settings
 from playlake.plans import users
 from playlake.plans import sessions as J2
-from playlake.plans.catalog import WINDOW
+from tests.conftest import WINDOW
 from playlake.plans.events import stg_events
 from playlake.sources import fixtures as fx
 from playlake.sources.seed import event_sources
