@@ -52,20 +52,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     there the setting must be given.
     """
     global _scratch
-    d = spark.conf.get("spark.checkpoint.dir", None)
     try:
         sc = spark.sparkContext  # absent on Spark Connect sessions
     except Exception:  # noqa: BLE001
         sc = None
-    if not d and sc is not None:
-        d = sc.getCheckpointDir()
+    known = sc.getCheckpointDir() if sc is not None else None
+    d = spark.conf.get("spark.checkpoint.dir", None) or _scratch or known
     if not d:
         master = sc.master if sc is not None else "a remote session"
         if not re.fullmatch(r"local(\[[^\]]*\])?", master):
             raise RuntimeError(f"set spark.checkpoint.dir to a folder that all machines of {master} share")
-        if _scratch is None:
-            _scratch = tempfile.mkdtemp(prefix="playlake-ckpt-", dir=os.environ.get("PLAYLAKE_SCRATCH", "/tmp"))
-        d = _scratch
-    if sc is not None:
+        d = _scratch = tempfile.mkdtemp(prefix="playlake-ckpt-", dir=os.environ.get("PLAYLAKE_SCRATCH", "/tmp"))
+    if sc is not None and known is None:
         sc.setCheckpointDir(d)
     return d
