@@ -162,7 +162,7 @@ def merge_words(words: list[bytes], table: PairTable) -> tuple[np.ndarray, np.nd
 class _Words(dict):
     """pre-token -> its number in this chunk."""
 
-    def __missing__(self, word: str) -> int:
+    def __missing__(self, word: bytes) -> int:
         n = self[word] = len(self)
         return n
 
@@ -184,7 +184,7 @@ def encode_texts(texts: list[str], table: PairTable) -> list[bytes]:
     """The ids of each text, as little-endian unsigned 32-bit integers."""
     words = _Words()
     numbered = [_word_numbers(t, words, table) for t in texts]
-    ids, begins = merge_words([w.encode("utf-8", "surrogatepass") for w in words], table)
+    ids, begins = merge_words(list(words), table)
     raw, cuts = ids.astype("<u4").tobytes(), (4 * begins).tolist()
     blobs = [raw[a:z] for a, z in zip(cuts, cuts[1:])]
     out = []

@@ -37,8 +37,8 @@ def _cut(batches: Iterator[pa.RecordBatch], tokenizer: str, end_id: int, size: i
     end = np.array([end_id], "<u4").tobytes()
     for batch in batches:
         docs, piece, start, length, crc, row = [], [], [], [], [], []
-        for doc_id, text, number in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
-            ids = enc.ids(text.as_py()) + end
+        for doc_id, raw, number in zip(batch.column(0).to_pylist(), enc.ids_of(batch.column(1)), batch.column(2).to_pylist()):
+            ids = raw + end
             n = len(ids) // 4
             at, k, first = 0, 0, n % size or size
             while at < n:

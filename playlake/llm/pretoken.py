@@ -2,13 +2,13 @@
 
 The pattern (fixed by the vocabulary files) is
 ``'s|'t|'re|'ve|'m|'ll|'d| ?\\p{L}+| ?\\p{N}+| ?[^\\s\\p{L}\\p{N}]+|\\s+(?!\\S)|\\s+``.
-``split`` finds the same cuts with array operations over code points: a pre-token
+``split_utf8`` finds the same cuts with array operations over the bytes of many texts: a pre-token
 is a run of one class (letter, number, other) with at most one space before it; a run
 of white space before a visible character gives up its last character; and a
 contraction at the start of a pre-token is cut off.
 
-Texts with code points from U+0530 on (outside U+2000-U+206F) go through the pattern
-itself, so the class table stays small and the result exact.
+Texts with code points from U+0530 on (outside U+2000-U+206F), or with white space beyond ASCII, go through the
+pattern itself, so the class table stays small and the result exact.
 """
 
 from __future__ import annotations
@@ -46,54 +46,79 @@ _TABLE = _class_table()
 _BLANK, _QUOTE = 0x20, 0x27
 
 
-def split(text: str) -> list[str]:
-    """Pre-tokens of ``text``, in order; joined they give ``text``.  Empty text: []."""
-    n = len(text)
-    if n < 40:
-        return _COMPILED.findall(text)
-    if text.isascii():
-        cps = np.frombuffer(text.encode("ascii"), np.uint8)
-        cls = _TABLE[cps]
-    else:
-        try:
-            cps = np.frombuffer(text.encode("utf-32-le"), np.uint32)
-        except UnicodeEncodeError:
-            return _COMPILED.findall(text)
-        cls = _TABLE[np.minimum(cps, _LIMIT)]
-        if cls.max() == UNKNOWN:
-            return _COMPILED.findall(text)
-    prev, cur = cls[:-1], cls[1:]
-    # starts[i]: a pre-token begins at character i
-    starts = np.empty(n, bool)
-    starts[0] = True
-    np.not_equal(prev, cur, out=starts[1:])
+def _classes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The class of each byte of UTF-8 ``data`` (all bytes of a character have its class), and positions of
+    characters that need the pattern itself: those outside the table, and white space of several bytes."""
+    cls = _TABLE[data]
+    hard = np.zeros(0, np.int64)
+    lead = np.flatnonzero(data >= 0xC0)
+    if lead.size:
+        first = data[lead].astype(np.int32)
+        two, three, four = first < 0xE0, (first >= 0xE0) & (first < 0xF0), first >= 0xF0
+        cp = np.full(lead.size, _LIMIT, np.int32)
+        at = lead[two]
+        cp[two] = (first[two] & 0x1F) << 6 | data[at + 1] & 0x3F
+        cls[at + 1] = cls[at] = _TABLE[cp[two]]
+        at = lead[three]
+        cp[three] = np.minimum((first[three] & 0x0F) << 12 | (data[at + 1] & 0x3F).astype(np.int32) << 6 | data[at + 2] & 0x3F, _LIMIT)
+        cls[at + 2] = cls[at + 1] = cls[at] = _TABLE[cp[three]]
+        at = lead[four]
+        cls[at + 3] = cls[at + 2] = cls[at + 1] = cls[at] = UNKNOWN
+        hard = lead[(cls[lead] == UNKNOWN) | (cls[lead] == SPACE)]
+    return cls, hard
+
+
+def split_utf8(data: bytes, ends: np.ndarray) -> list[list[bytes]]:
+    """Pre-tokens of the texts that stand one after another in the UTF-8 ``data``; ``ends``: where each ends."""
+    n = len(data)
+    if not n:
+        return [[] for _ in ends]
+    raw = np.frombuffer(data, np.uint8)
+    cls, hard = _classes(raw)
+    inner = ends[:-1][(ends[:-1] > 0) & (ends[:-1] < n)]          # where a text follows another
+    # starts[i]: a pre-token begins at byte i
+    starts = np.empty(n + 1, bool)
+    starts[0] = starts[n] = True
+    np.not_equal(cls[:-1], cls[1:], out=starts[1:-1])
     white = cls == SPACE
-    blank_before = cps[:-1] == _BLANK
     after_white = white[:-1] & ~white[1:]          # i+1 is visible, i is white space
-    glued = after_white & blank_before             # the blank belongs to what follows
-    starts[1:][glued] = False
+    after_white[inner - 1] = False
+    starts[1:-1][after_white & (raw[:-1] == _BLANK)] = False      # the blank belongs to what follows
     # the last white-space character before a visible one is a pre-token of its own (or glued)
-    starts[:-1][after_white] = True
-    quotes = np.flatnonzero(cps == _QUOTE)
+    starts[:-2][after_white] = True
+    starts[inner] = True
+    quotes = np.flatnonzero(raw == _QUOTE)
     if quotes.size:
-        _contractions(text, n, starts, quotes)
-    cuts = np.flatnonzero(starts).tolist()
-    cuts.append(n)
-    return [text[a:b] for a, b in zip(cuts, cuts[1:])]
-
-
-def _contractions(text: str, n: int, starts: np.ndarray, quotes: np.ndarray) -> None:
+        _contractions(data, ends, starts, quotes[starts[quotes]])
+    cuts = np.flatnonzero(starts)
+    at = cuts.tolist()
+    begins = np.concatenate([[0], ends[:-1]])
+    found = [[data[a:z] for a, z in zip(at[i:j], at[i + 1:j + 1])]
+             for i, j in zip(np.searchsorted(cuts, begins).tolist(), np.searchsorted(cuts, ends).tolist())]
+    for k in np.unique(np.searchsorted(ends, hard, "right")).tolist():
+        found[k] = [w.encode() for w in _COMPILED.findall(data[begins[k]:ends[k]].decode())]
+    return found
+
+
+def split(text: str) -> list[bytes]:
+    """Pre-tokens of ``text`` in UTF-8, in order; joined they give ``text``.  Empty text: []."""
+    if len(text) < 40:
+        return [w.encode() for w in _COMPILED.findall(text)]
+    data = text.encode()
+    return split_utf8(data, np.array([len(data)]))[0]
+
+
+def _contractions(data: bytes, ends: np.ndarray, starts: np.ndarray, quotes: np.ndarray) -> None:
     """Cut contractions off where a quote begins a pre-token."""
-    for q in quotes[starts[quotes]].tolist():
-        if text[q + 1:q + 2] in ("s", "t", "m", "d"):
+    for q, stop in zip(quotes.tolist(), ends[np.searchsorted(ends, quotes, "right")].tolist()):
+        if data[q + 1:min(q + 2, stop)] in (b"s", b"t", b"m", b"d"):
             end = q + 2
-        elif text[q + 1:q + 3] in ("re", "ve", "ll"):
+        elif data[q + 1:min(q + 3, stop)] in (b"re", b"ve", b"ll"):
             end = q + 3
         else:
             continue
         starts[q + 1:end] = False
-        if end < n:                                  # what follows begins anew, also inside a run of letters
-            starts[end] = True
+        starts[end] = True                           # what follows begins anew, also inside a run of letters
 
 
 def byte_symbols() -> list[str]:

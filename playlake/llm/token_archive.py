@@ -12,8 +12,12 @@ so one short document is read with the footer, its index entry and its own frame
 under a temporary name and renamed, so a task that runs again after a lost executor
 replaces it by equal content.
 
+Shards are ranges of doc_id of about equal size, one task each; an id (or the lack of one) that fills several
+shards is spread over them.
+
 Edge cases: a null text counts as empty (its ids are the end id alone); a null doc_id
-sorts first; rows that share a doc_id are all kept, ordered by their frames; an empty
+sorts first; rows that share a doc_id are all kept, in any order among them; a very long text is one frame, and
+its shard's file may exceed the part size by it; an empty
 table gives an archive without shards; other columns are not read.
 
 The dictionary is fitted on a bounded sample: at most ``sample_docs`` documents of at most
@@ -29,6 +33,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -57,24 +62,50 @@ def _sample(docs: DataFrame, tokenizer: str, sample_docs: int, sample_chars: int
         return []
     rows = (docs.filter((F.xxhash64("doc_id") <= cutoff) & F.length("text").between(1, sample_chars))
             .select("text").limit(sample_docs).collect())
-    enc = encoder(tokenizer)
-    return [np.frombuffer(enc.ids(r[0]), "<u4").astype(f"<u{width}").tobytes() for r in rows]
-
-
-def _bounds(docs: DataFrame, shard_chars: int) -> np.ndarray:
-    """doc_ids where the next shard begins: quantiles, so many that a shard has about ``shard_chars``."""
-    def quantiles(n: int):
-        return F.percentile_approx("doc_id", [i / n for i in range(1, n)], 20 * n)
-
-    grid = 1024
-    chars, found = docs.agg(F.sum(F.length("text")), quantiles(grid)).first()
-    shards = max(1, -(-(chars or 0) // shard_chars))
-    if shards > grid // 4:
-        found = docs.agg(quantiles(shards)).first()[0]
-        picked = found or []
-    else:
-        picked = [found[i * grid // shards - 1] for i in range(1, shards)] if found else []
-    return np.array(sorted(set(picked)), np.int64)
+    ids = encoder(tokenizer).ids_of(pa.array([r[0] for r in rows], pa.string()))
+    return [np.frombuffer(x, "<u4").astype(f"<u{width}").tobytes() for x in ids]
+
+
+class Bounds(NamedTuple):
+    """How rows are dealt to shards: ``nulls`` shards of null ids first, then ranges that end at ``ids``."""
+
+    nulls: int
+    ids: np.ndarray
+
+    @property
+    def shards(self) -> int:
+        return self.nulls + self.ids.size + 1
+
+    def shard_of(self, doc_id: int | None, place: int) -> int:
+        """A range's shard; where an id fills several (its bound repeats), or has none, the row's place decides."""
+        if doc_id is None:
+            return place % self.nulls if self.nulls else 0
+        low, high = np.searchsorted(self.ids, doc_id, "left"), np.searchsorted(self.ids, doc_id, "right")
+        return self.nulls + int(low) + place % int(high - low + 1)
+
+
+def _bounds(docs: DataFrame, shard_chars: int, most: int = 65_536) -> Bounds:
+    """Ranges of doc_id of about ``shard_chars`` characters, from a sample of some ``most`` rows' ids and lengths.
+
+    The sample steers sizes only.  There are at most ``most`` / 8 ranges; beyond, shards have more files."""
+    length = F.coalesce(F.length("text"), F.lit(0)) + 1
+    rows, chars = docs.agg(F.count("*"), F.sum(length)).first()
+    if not rows:
+        return Bounds(0, np.zeros(0, np.int64))
+    some = docs.select("doc_id", length.alias("n"))
+    if rows > most:
+        some = some.sample(most / rows, seed=1).limit(2 * most)
+    found = [(r[0], r[1]) for r in some.collect()]
+    if not found:
+        return Bounds(0, np.zeros(0, np.int64))
+    shards = max(1, min(-(-chars // shard_chars), most // 8))
+    each = sum(n for _, n in found) / shards
+    nulls = int(sum(n for i, n in found if i is None) / each)
+    known = sorted((i, n) for i, n in found if i is not None)
+    upto = np.cumsum([n for _, n in known])
+    ranges = max(1, shards - nulls)
+    cuts = np.searchsorted(upto, [upto[-1] * k / ranges for k in range(1, ranges)]) if known else []
+    return Bounds(nulls, np.array([known[k][0] for k in cuts], np.int64))
 
 
 def train_dictionary(samples: list[bytes], size: int) -> bytes:
@@ -92,17 +123,19 @@ def _dictionary(data: bytes) -> zstandard.ZstdCompressionDict | None:
 
 
 def _encode(batches: Iterator[pa.RecordBatch], tokenizer: str, end_id: int, width: int,
-            dictionary: bytes, bounds: np.ndarray, level: int) -> Iterator[pa.RecordBatch]:
+            dictionary: bytes, bounds: Bounds, level: int) -> Iterator[pa.RecordBatch]:
     enc = encoder(tokenizer)
     press = zstandard.ZstdCompressor(level=level, dict_data=_dictionary(dictionary), write_dict_id=False)
     end = np.array([end_id], "<u4").tobytes()
+    place = 0
     for batch in batches:
         counts, frames, shards = [], [], []
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            ids = np.frombuffer(enc.ids(text.as_py()) + end, "<u4")
+        for doc_id, raw in zip(batch.column(0).to_pylist(), enc.ids_of(batch.column(1))):
+            ids = np.frombuffer(raw + end, "<u4")
             counts.append(ids.size)
             frames.append(press.compress(ids.astype(f"<u{width}").tobytes()))
-            shards.append(0 if doc_id is None else int(np.searchsorted(bounds, doc_id, "right")))
+            shards.append(bounds.shard_of(doc_id, place))
+            place += 1
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(shards, pa.int32()), pa.array(counts, pa.int64()),
              pa.array(frames, pa.binary())], names=["doc_id", "shard", "n_tokens", "frame"])
@@ -168,7 +201,9 @@ def _write(batches: Iterator[pa.RecordBatch], root: str, width: int, digest: byt
 def write_archive(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, shard_chars: int = 32 << 20,
                   part_bytes: int = 64 << 20, dictionary_bytes: int = 64 << 10, sample_docs: int = 400,
                   sample_chars: int = 20_000, level: int = 3) -> str:
-    """Write ``docs`` (doc_id, text) to ``path`` (a folder all executors share); returns ``path``."""
+    """Write ``docs`` (doc_id, text) to ``path`` (a folder all executors share); returns ``path``.
+
+    ``docs`` is a stored table: the rows of an id that fills several shards are dealt by their places in it."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     width = 2 if max(encoder(tokenizer).vocab_size, end_id + 1) <= 1 << 16 else 4
     dictionary = train_dictionary(_sample(docs, tokenizer, sample_docs, sample_chars, width), dictionary_bytes)
@@ -181,9 +216,8 @@ def write_archive(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, s
         out.write(json.dumps({"width": width, "end_id": end_id, "dictionary_sha256": digest.hex()}).encode())
 
     bounds = _bounds(docs, shard_chars)
-    n_shards = bounds.size + 1
     frames = docs.mapInArrow(lambda it: _encode(it, tokenizer, end_id, width, dictionary, bounds, level), _FRAMES)
-    (frames.repartition(n_shards, "shard").sortWithinPartitions("shard", "doc_id", "n_tokens", "frame")
+    (frames.repartitionById(bounds.shards, "shard").sortWithinPartitions("shard", "doc_id", "n_tokens", "frame")
      .mapInArrow(lambda it: _write(it, path, width, digest, part_bytes), _MANIFEST)
      .write.parquet(f"{path}/files"))
     # a row per shard file: their number is the archive's size over the part size

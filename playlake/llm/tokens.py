@@ -11,16 +11,22 @@ from __future__ import annotations
 import functools
 import json
 import os
+import struct
 
 import numpy as np
+import pyarrow as pa
 
-from playlake.llm.pretoken import byte_symbols, split
+from playlake.llm.pretoken import byte_symbols, split_utf8
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-#: pre-tokens in a generation of a worker's cache (two are held), and the longest one kept (characters)
+#: pre-tokens in a generation of a worker's cache (two are held), and the longest one kept (bytes)
 CACHE_ENTRIES = 400_000
-CACHE_CHARS = 48
+CACHE_BYTES = 48
+#: bytes of texts that are split in one pass
+TOGETHER = 1 << 20
+#: packers of few ids, by their number
+_PACK = [struct.Struct(f"<{n}I") for n in range(17)]
 
 
 class _Ids(dict):
@@ -29,13 +35,13 @@ class _Ids(dict):
     def __init__(self, encode):
         super().__init__()
         self.encode = encode
-        self.before: dict[str, bytes] = {}
+        self.before: dict[bytes, bytes] = {}
 
-    def __missing__(self, word: str) -> bytes:
+    def __missing__(self, word: bytes) -> bytes:
         ids = self.before.get(word)
         if ids is None:
             ids = self.encode(word)
-        if len(word) <= CACHE_CHARS:
+        if len(word) <= CACHE_BYTES:
             if len(self) >= CACHE_ENTRIES:
                 self.before = dict(self)
                 self.clear()
@@ -57,6 +63,7 @@ class Encoder:
         self.vocab_size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.added = [t["content"] for t in spec.get("added_tokens", [])]
         pre = spec.get("pre_tokenizer") or {}
+        self.added_bytes = [a.encode() for a in self.added]
         self.by_word = (spec.get("normalizer") is None and pre.get("type") == "ByteLevel"
                         and pre.get("use_regex", True) and not pre.get("add_prefix_space", True))
         self.model = self.tokenizer.model
@@ -67,21 +74,43 @@ class Encoder:
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def word(self, word: str) -> bytes:
+    def word(self, word: bytes) -> bytes:
         """Ids of one pre-token, from the library's model: it reads the printable stand-ins of the bytes."""
-        if word.isascii() and word.isprintable():
-            symbols = word.replace(" ", self.blank)
-        else:
-            symbols = word.encode("utf-8").decode("latin-1").translate(self.symbols)
-        return np.array([t.id for t in self.model.tokenize(symbols)], "<u4").tobytes()
+        symbols = word.decode("latin-1")
+        symbols = symbols.replace(" ", self.blank) if word.isascii() and symbols.isprintable() else symbols.translate(self.symbols)
+        ids = [t.id for t in self.model.tokenize(symbols)]
+        return _PACK[len(ids)].pack(*ids) if len(ids) < len(_PACK) else np.array(ids, "<u4").tobytes()
 
     def ids(self, text: str | None) -> bytes:
         """Null counts as empty."""
-        if not text:
-            return b""
-        if not self.by_word or any(a in text for a in self.added):
-            return self.whole(text)
-        return b"".join(map(self.cache.__getitem__, split(text)))
+        return self.ids_of(pa.array([text], pa.string()))[0]
+
+    def ids_of(self, texts: pa.Array) -> list[bytes]:
+        """``ids`` of each text of an Arrow array; texts are split some ``TOGETHER`` bytes at a time."""
+        if texts.null_count:
+            texts = texts.fill_null("")
+        if not self.by_word:
+            return [self.whole(t) for t in texts.to_pylist()]
+        n = len(texts)
+        if not n or texts.buffers()[2] is None:
+            return [b""] * n
+        width = np.int64 if pa.types.is_large_string(texts.type) else np.int32
+        bounds = np.frombuffer(texts.buffers()[1], width)[texts.offset:texts.offset + n + 1].astype(np.int64)
+        data, get = memoryview(texts.buffers()[2]), self.cache.__getitem__
+        found: list[bytes] = []
+        a = 0
+        while a < n:
+            z = max(a + 1, int(np.searchsorted(bounds, bounds[a] + TOGETHER, "right")) - 1)
+            piece = bytes(data[bounds[a]:bounds[z]])
+            ids = [b"".join(map(get, words)) for words in split_utf8(piece, bounds[a + 1:z + 1] - bounds[a])]
+            if any(t in piece for t in self.added_bytes):
+                for k in range(a, z):
+                    text = bytes(data[bounds[k]:bounds[k + 1]])
+                    if any(t in text for t in self.added_bytes):
+                        ids[k - a] = self.whole(text.decode())
+            found += ids
+            a = z
+        return found
 
 
 @functools.lru_cache(maxsize=2)

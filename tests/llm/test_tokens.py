@@ -3,6 +3,7 @@
 import random
 import uuid
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -31,8 +32,15 @@ def le(ids):
 @given(st.text(alphabet="abs'trevlmd  \n\t1²é-!Жẞ\x1c\x85", min_size=40, max_size=120))
 @settings(max_examples=300, deadline=None)
 def test_split_follows_the_pattern(text):
-    assert pretoken.split(text) == pretoken._COMPILED.findall(text)
-    assert "".join(pretoken.split(text)) == text
+    assert [w.decode() for w in pretoken.split(text)] == pretoken._COMPILED.findall(text)
+
+
+@given(st.lists(st.text(alphabet="ab'srel  \n\t1é-!Жẞ\xa0日😀\u2003\x00", max_size=40), min_size=1, max_size=8))
+@settings(max_examples=300, deadline=None)
+def test_texts_split_together_as_they_do_alone(texts):
+    data = [t.encode() for t in texts]
+    found = pretoken.split_utf8(b"".join(data), np.cumsum([len(d) for d in data]))
+    assert [[w.decode() for w in words] for words in found] == [pretoken._COMPILED.findall(t) for t in texts]
 
 
 @given(st.lists(st.text(alphabet=st.sampled_from(list("abcdeé ' \n12日😀-tion")), max_size=60), max_size=6))
@@ -94,6 +102,24 @@ def test_archive_round_trip(spark, make_docs, tmp_path, shard_chars):
     assert token_archive.read_document(spark, path, 10**9) == []
 
 
+def test_archive_spreads_ids_that_fill_shards(spark, make_docs, tmp_path):
+    rng = random.Random(4)
+    pairs = [(None, prose(rng, 20)) for _ in range(400)] + [(77, prose(rng, 20)) for _ in range(400)] + [
+        (k, prose(rng, 20)) for k in range(400)] + [(5, "y" * 200_000)]
+    chars = sum(len(t) for _, t in pairs[:1200])
+    path = token_archive.write_archive(make_docs(pairs), f"file://{tmp_path}/hot", PATH, shard_chars=chars // 12)
+    files = spark.read.parquet(f"{path}/manifest").orderBy("shard", "part").collect()
+    assert max(f.n_docs for f in files) < 300 and sum(f.n_docs for f in files) == len(pairs)
+    lib, want = library(), Counter()
+    for i, t in pairs:
+        want[i, zlib.crc32(le(lib.encode(t, add_special_tokens=False).ids + [2]))] += 1
+    rows = sorted(token_archive.read_archive(spark, path).collect(), key=lambda r: r["start"])
+    assert Counter((r["doc_id"], r["ids_crc32"]) for r in rows) == want
+    assert [r["doc_id"] for r in rows] == sorted((p[0] for p in pairs), key=lambda i: (i is not None, i or 0))
+    assert [r["start"] for r in rows] == [0, *np.cumsum([r["n_tokens"] for r in rows]).tolist()[:-1]]
+    assert len(token_archive.read_document(spark, path, 77)) == 401
+
+
 def test_archive_of_nothing(spark, make_docs, tmp_path):
     path = token_archive.write_archive(make_docs([]), f"file://{tmp_path}/none", PATH)
     assert token_archive.read_archive(spark, path).count() == 0
