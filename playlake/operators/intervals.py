@@ -14,12 +14,9 @@ without a key or time never enter the join.
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DAY = "_day"
 #: cell widths in days; the last spans more than the calendar's 4 million days in 14 cells
 WIDTHS = (1, 8, 64, 512, 4096, 32768, 262144)
 _DAY_ZERO = "0001-01-01"
@@ -75,19 +72,3 @@ def point_in_interval_join(points: DataFrame, intervals: DataFrame, point_key: s
         return joined
     alone = points.filter(~has).select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in intervals.schema])
     return joined.unionByName(alone.select(*joined.columns))
-
-
-def starts_within_join(points: DataFrame, intervals: DataFrame, point_key: str, interval_key: str,
-                       ts: str, start: str, ahead: dt.timedelta, extra: Column | None = None) -> DataFrame:
-    """Inner join of points with intervals whose ``start`` lies in (ts, ts + ahead]:
-    each point is copied to the days of that span and meets only intervals starting
-    on those days.  (The span is a setting of a few days, so the copies are bounded.)"""
-    points = points.filter(F.col(point_key).isNotNull())
-    hi = F.col(ts) + F.make_dt_interval(F.lit(ahead.days), F.lit(0), F.lit(0), F.lit(ahead.seconds))
-    p = points.withColumn(DAY, F.explode(F.sequence(F.to_date(F.col(ts)), F.to_date(hi))))
-    iv = intervals.withColumn(DAY, F.to_date(F.col(start)))
-    cond = ((F.col(point_key) == F.col(interval_key)) & (p[DAY] == iv[DAY])
-            & (F.col(start) > F.col(ts)) & (F.col(start) <= hi))
-    if extra is not None:
-        cond = cond & extra
-    return p.join(iv, cond, "inner").drop(iv[DAY]).drop(p[DAY])
