@@ -7,6 +7,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from playlake.llm import hash_index, simhash, substring_dedup
 from playlake.llm.components import connected_components
@@ -47,6 +48,16 @@ def plain_removal(pairs, length):
     return sorted(out.values(), key=repr)
 
 
+def test_different_words_of_one_rolling_hash_are_told_apart(make_docs):
+    thue = "".join("ab"[bin(i).count("1") % 2] for i in range(2048))
+    rest = " ".join(f"w{i}" for i in range(19))
+    pairs = [(1, f"{thue} {rest}"), (2, f"{thue.translate(str.maketrans('ab', 'ba'))} {rest}"), (3, f"{thue} {rest}")]
+    rows = substring_dedup.remove_repeated_windows(make_docs(pairs), min_words=20).collect()
+    assert {r["doc_id"]: r["n_removed"] for r in rows} == {1: 0, 2: 0, 3: 20}
+    with pytest.raises(ValueError):
+        substring_dedup.remove_repeated_windows(make_docs(pairs), min_words=2000)
+
+
 @pytest.mark.parametrize("length", [20, 14, 9])
 def test_cover_brings_any_two_places_together(length):
     period, cover, anchor = substring_dedup.cover_for(length)
@@ -135,6 +146,19 @@ def test_dropped_copies_keep_all_columns(make_docs):
     assert hash_index.exact_dedup(make_docs([])).count() == hash_index.drop_copies(make_docs([])).count() == 0
 
 
+def test_documents_are_found_through_the_directory(spark, make_docs):
+    docs = make_docs([(i, f"text {i // 2}") for i in range(400)] + [(999, "long " * 200_000)])
+    index = hash_index.build_index(docs, hash_index.IndexOptions(capacity=10))
+    assert index.depth == 9 and index.directory.count() == 1 << 9
+    assert hash_index.lookup(index, docs).count() == 401
+    # a directory that names another bucket for half of the cells loses the documents of those
+    wrong = index.directory.withColumn("bucket", F.when(F.col("cell") % 2 == 0, F.col("bucket")).otherwise(-1))
+    lost = hash_index.HashIndex(index.rows, wrong, index.entries, index.depth)
+    assert 0 < hash_index.lookup(lost, docs).count() < 350
+    chains = index.entries.groupBy("bucket", "h").agg(F.max("chain").alias("c"), F.count("*").alias("n"))
+    assert chains.filter("c <> n").count() == 0 and index.entries.count() == 201
+
+
 def test_directory_splits_overfull_buckets(spark, make_docs):
     options = hash_index.IndexOptions(capacity=10, max_depth=7)
     index = hash_index.build_index(make_docs([(i, f"text {i}") for i in range(300)]), options)
@@ -145,7 +169,7 @@ def test_directory_splits_overfull_buckets(spark, make_docs):
     sizes = {r["bucket"]: r["count"] for r in index.entries.groupBy("bucket").count().collect()}
     assert sum(sizes.values()) == 300
     assert sizes == {c["bucket"]: c["entries"] for c in cells if c["entries"]}
-    found = hash_index.lookup(index, make_docs([(1, "te xt 5"), (2, "no such")]), options).collect()
+    found = hash_index.lookup(index, make_docs([(1, "te xt 5"), (2, "no such")])).collect()
     assert [(r["doc_id"], r["keep_id"]) for r in found] == [(1, 5)]
 
 
