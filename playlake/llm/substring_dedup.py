@@ -26,7 +26,8 @@ of them keeps a window they share); rows that share another doc_id are separate
 by text; rows of a repeated or null doc_id are sorted once and dealt over the groups by
 their rank, so no key fills a group; texts of fewer words than a window
 are kept whole; an empty table gives no rows; columns named in ``carry`` are passed through under
-their names.  Words and windows are compared by 64-bit and 96-bit hashes of their bytes.
+their names; a very long text is part of one group, which holds it whole.  Words are compared by the XXH64
+of their bytes, windows by 96-bit rolling hashes of those.
 """
 
 from __future__ import annotations
@@ -35,6 +36,7 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,9 +46,11 @@ from playlake.llm.common import materialize, whole_row
 #: perfect difference covers by period: fixed values
 COVERS = {7: (0, 1, 3), 13: (0, 1, 3, 9), 21: (0, 1, 4, 14, 16), 31: (0, 1, 3, 8, 12, 18)}
 #: odd multipliers of the rolling hashes: fixed values
-_BYTE_BASE, _WORD_BASES = 0x9E3779B97F4A7C15, (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
+_WORD_BASES = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 #: bytes whose words are hashed at once
-_SLICE = 1 << 21
+_SLICE = 1 << 20
+#: longest window: runs of a thousand words and more can defeat rolling hashes modulo 2 ** 64
+MOST_WORDS = 512
 
 _IS_BREAK = np.zeros(256, bool)
 _IS_BREAK[[0x20, *range(0x09, 0x0E)]] = True
@@ -55,6 +59,8 @@ _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 def cover_for(min_words: int) -> tuple[int, tuple[int, ...], int]:
     """Period, cover and anchor words: the longest period that leaves anchors of 8 words or more."""
+    if not 1 <= min_words <= MOST_WORDS:
+        raise ValueError(f"windows have 1 to {MOST_WORDS} words")
     periods = [p for p in COVERS if min_words - p + 1 >= 8] or [p for p in COVERS if min_words >= p]
     period = max(periods, default=1)
     return period, COVERS.get(period, (0,)), min_words - period + 1
@@ -87,7 +93,8 @@ class Words:
     def __init__(self, texts: list[bytes]):
         sizes = np.array([len(t) for t in texts], np.int64)
         # every text ends with a break, so words don't run on into the next one
-        data = np.frombuffer(b" ".join([*texts, b""]), np.uint8)
+        joined = b" ".join([*texts, b""])
+        data = np.frombuffer(joined, np.uint8)
         breaks = _IS_BREAK[data]
         inside = np.concatenate([[False], ~breaks, [False]])
         edges = np.flatnonzero(inside[1:] != inside[:-1])
@@ -96,24 +103,20 @@ class Words:
         #: first word of each text, and one more at the end
         self.first = np.concatenate([[0], np.searchsorted(self.starts, ends_of_texts)]).astype(np.int64)
         self.n = self.starts.size
-        self.hashes = self._hash(data)
+        self.hashes = self._hash(joined)
         #: first word of the own text, and the end of the own text, for each word
         per_text = np.diff(self.first)
         self.text_start = np.repeat(self.first[:-1], per_text)
         self.text_end = np.repeat(self.first[1:], per_text)
 
-    def _hash(self, data: np.ndarray) -> np.ndarray:
+    def _hash(self, joined: bytes) -> np.ndarray:
+        """XXH64 of each word's bytes; a megabyte of text is split at once."""
         out = np.empty(self.n, np.uint64)
         i = 0
         while i < self.n:
             a = int(self.starts[i])
             j = max(i + 1, int(np.searchsorted(self.ends, a + _SLICE, "right")))
-            z = int(self.ends[j - 1])
-            up, down = _power_tables(_BYTE_BASE, z - a + 1)
-            sums = np.zeros(z - a + 1, np.uint64)
-            np.cumsum((data[a:z].astype(np.uint64) + np.uint64(1)) * up[:-1], out=sums[1:])
-            s, e = self.starts[i:j] - a, self.ends[i:j] - a
-            out[i:j] = _mix((sums[e] - sums[s]) * down[s], 1)
+            out[i:j] = np.fromiter(map(xxhash.xxh64_intdigest, joined[a:int(self.ends[j - 1])].split()), np.uint64, j - i)
             i = j
         return out
 
