@@ -259,7 +259,6 @@ def compress(vectors: DataFrame, parts: int = 16, entries: int = 64, rounds: int
 
     ``vectors``: vec_id, embedding (array of numbers), label.  ``entries`` is 256 at most.
     """
-    spark = vectors.sparkSession
     scaled = F.transform("embedding", lambda x: F.floor(x.cast("double") * scale))
     dim = F.size("embedding")
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < float("inf")))
