@@ -57,10 +57,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     except Exception:  # noqa: BLE001
         sc = None
     known = sc.getCheckpointDir() if sc is not None else None
-    d = spark.conf.get("spark.checkpoint.dir", None) or _scratch or known
+    master = spark.conf.get("spark.master", "local") if sc is not None else "a remote session"
+    local = re.fullmatch(r"local(\[[^\]]*\])?", master) is not None
+    d = spark.conf.get("spark.checkpoint.dir", None) or (_scratch if local else None) or known
     if not d:
-        master = sc.master if sc is not None else "a remote session"
-        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        if not local:
             raise RuntimeError(f"set spark.checkpoint.dir to a folder that all machines of {master} share")
         d = _scratch = tempfile.mkdtemp(prefix="playlake-ckpt-", dir=os.environ.get("PLAYLAKE_SCRATCH", "/tmp"))
     if sc is not None and known is None:
