@@ -11,6 +11,13 @@ of ``documents``:
    words keeps the others joined by one space, one that loses all of its words goes, all
    others keep their text as it is;
 5. packing: documents become sequences of at most 2048 tokens.
+
+Null and empty texts hold no letter and go in stage 1.  Rows are told apart by themselves, not by doc_id: repeated
+rows are copies of each other, of which stage 2 keeps one; rows of a repeated or null doc_id with texts of their
+own all stay.  Ties: of copies the longest text, then the smallest doc_id (nulls last) stays; of SimHash
+groups the smallest doc_id, then the smallest hash of the text; of equal windows the first in the order of doc_id and place.
+Very long texts go through whole.  An empty table gives no rows in every stage.  ``run`` reads the columns of
+``documents`` and no others; its last stage returns the columns of ``packing.pack_documents``.
 """
 
 from __future__ import annotations
