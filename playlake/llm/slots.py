@@ -11,7 +11,9 @@ Slot sums have a fixed number of rows (``slots`` times ``CELLS`` at most), so th
 broadcast; the greedy placement works on one array of ``slots`` entries.
 
 Edge cases: a null text has size 1 (no bytes, plus 1) and CRC 0; a null doc_id is hashed like a
-value; rows repeated in doc_id, CRC and size are spread over slots by a stored row id; an empty
+value; rows repeated in doc_id, CRC and size are spread over slots by the copy's number among them, the first
+has the slot that it would have alone; slots of equal bytes move in the order of their numbers, and
+shards of equal load are filled in the order of theirs; a very long text is one record of its size; an empty
 table gives no rows; only doc_id and text are read.
 """
 
@@ -28,7 +30,10 @@ CELLS = 16
 
 
 def measured(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
-    """doc_id, size, text_crc32, vslot, cell of every row."""
+    """doc_id, size, text_crc32, vslot, cell of every row.
+
+    A slot depends on the record alone: on its doc_id, CRC and size and, for records that are equal in these, on the
+    copy's number (0: none).  Copies are numbered within stored partitions first, then over them."""
     key = ["doc_id", "text_crc32", "size"]
     raw = F.encode(text_or_empty(), "UTF-8")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
@@ -38,18 +43,29 @@ def measured(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
     h = F.xxhash64(F.coalesce("doc_id", F.lit(-1)), "text_crc32", "size")
     if repeated.head(1):
         same = [rows[c].eqNullSafe(repeated["k"][c]) for c in key]
-        rows = rows.join(repeated, same, "left")
-        h = F.when(F.col("k").isNull(), h).otherwise(F.xxhash64(h, "row"))
-    rows = rows.select(*rows.columns[:3], h.alias("h"))
+        rows = rows.join(repeated, same, "left").withColumn("part", F.shiftright("row", 33))
+        of_part, of_key = Window.partitionBy(*key, "part").orderBy("row"), Window.partitionBy(*key).orderBy("part")
+        copies = rows.filter(F.col("k").isNotNull())
+        before = (copies.groupBy(*key, "part").agg(F.count("*").alias("n"))
+                  .withColumn("before", F.coalesce(F.sum("n").over(of_key.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))))
+        before = before.select(*[F.col(c).alias(f"_{c}") for c in (*key, "part")], "before")
+        numbered = copies.withColumn("at", F.row_number().over(of_part) - 1)
+        numbered = numbered.join(before, [numbered[c].eqNullSafe(before[f"_{c}"]) for c in (*key, "part")])
+        number = F.col("at") + F.col("before")
+        salted = F.when(number == 0, h).otherwise(F.xxhash64(h, number))
+        rows = (rows.filter(F.col("k").isNull()).select(*key, h.alias("h"))
+                .unionByName(numbered.select(*key, salted.alias("h"))))
+    else:
+        rows = rows.select(*key, h.alias("h"))
     h = F.col("h")
-    return (rows.withColumn("vslot", F.pmod(h, F.lit(slots)).cast("int"))
+    return (rows.select("doc_id", "size", "text_crc32", "h").withColumn("vslot", F.pmod(h, F.lit(slots)).cast("int"))
             .withColumn("cell", F.pmod(F.shiftright(h, 32), F.lit(CELLS)).cast("int")).drop("h"))
 
 
 def first_map(spark: SparkSession, shards: int, slots: int = SLOTS) -> DataFrame:
-    """Version 0: vslot, shard."""
-    return spark.range(slots).select(F.col("id").cast("int").alias("vslot"),
-                                     F.pmod("id", F.lit(shards)).cast("int").alias("shard"))
+    """Version 0: vslot, shard, bytes (none are known)."""
+    return spark.range(slots).select(F.col("id").cast("int").alias("vslot"), F.pmod("id", F.lit(shards)).cast("int").alias("shard"),
+                                     F.lit(None).cast("long").alias("bytes"))
 
 
 def rebalance(slot_bytes: DataFrame, current: DataFrame, shards: int) -> DataFrame:
@@ -57,7 +73,7 @@ def rebalance(slot_bytes: DataFrame, current: DataFrame, shards: int) -> DataFra
 
     ``slot_bytes``: vslot, bytes.  ``current``: vslot, shard.
     """
-    sized = current.join(slot_bytes, "vslot", "left").select(
+    sized = current.select("vslot", "shard").join(slot_bytes, "vslot", "left").select(
         "vslot", "shard", F.coalesce("bytes", F.lit(0).cast("long")).alias("bytes"))
     fair = sized.agg((F.sum("bytes") / shards).alias("fair"))
     held = Window.partitionBy("shard").orderBy(F.desc("bytes"), "vslot").rowsBetween(Window.unboundedPreceding, 0)
@@ -103,7 +119,8 @@ def shard_documents(docs: DataFrame, shards: int = 16, slots: int = SLOTS, path:
     cells = rows.groupBy("vslot", "cell").agg(F.sum("size").alias("bytes"), F.count("*").alias("rows"))
     cells = materialize(cells.coalesce(1), "slot-sums")
     path = path or shared_path(spark, "slot-map")
-    new = rebalance(cells.groupBy("vslot").agg(F.sum("bytes").alias("bytes")), first_map(spark, shards, slots), shards)
+    start = store_map(first_map(spark, shards, slots), path, 0)
+    new = rebalance(cells.groupBy("vslot").agg(F.sum("bytes").alias("bytes")), start, shards)
     current = store_map(new, path, 1)
     before = Window.partitionBy("shard").orderBy("vslot", "cell").rowsBetween(Window.unboundedPreceding, -1)
     starts = (cells.join(current.select("vslot", "shard"), "vslot")

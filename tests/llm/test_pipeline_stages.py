@@ -61,10 +61,36 @@ def test_stages_in_turn(spark, make_docs, tmp_path):
     assert PATH
 
 
+def through(spark, docs, folder):
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, docs, "").write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
+        yield name, docs
+
+
+def test_stages_on_repeated_rows_and_ids_and_nulls(spark, make_docs, tmp_path):
+    rng = random.Random(12)
+    a, b, c, d = (prose(rng, 60) for _ in range(4))
+    odd = [(7, a), (7, a), (7, b), (None, c), (None, c), (None, d), (8, None), (None, None), (9, "")]
+    plain = [(100 + i, prose(rng, 50)) for i in range(30)] + [(500, prose(rng, 40_000))]
+    docs = make_docs(odd + plain).select(*DOCUMENT_COLUMNS)
+    stages = dict(through(spark, docs, tmp_path))
+    want = sorted([7, 7, None, None] + [i for i, _ in plain], key=repr)
+    for name in ("exact_dedup", "simhash_dedup"):
+        assert sorted((r["doc_id"] for r in stages[name].collect()), key=repr) == want
+    kept = [(r["doc_id"], r["text"]) for r in stages["substring_dedup"].collect()]
+    assert sorted((i for i, _ in kept), key=repr) == want and {a, b, c, d} <= {t for _, t in kept}
+    check_packing(stages["best_fit_packing"].collect(), kept, 2048)
+
+
+def test_stages_on_an_empty_table(spark, make_docs, tmp_path):
+    assert all(df.count() == 0 for _, df in through(spark, make_docs([]).select(*DOCUMENT_COLUMNS), tmp_path))
+
+
 def test_run_is_registered(spark):
     import __spark_entry__
 
     importlib.reload(__spark_entry__)
     assert __spark_entry__.queries()["pipeline"] is corpus_pipeline.run
     names = [q for q in __spark_entry__.queries() if q.startswith("op")]
-    assert sorted(int(q[2:].split("_")[0]) for q in names) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in names) == list(range(1, 14))

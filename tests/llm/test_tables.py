@@ -3,7 +3,7 @@
 import hashlib
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -63,6 +63,31 @@ def test_rebalancing_moves_little(spark, tmp_path):
     assert {(r["version"], r["count"]) for r in versions} == {(1, 256), (2, 256)}
 
 
+def test_a_slot_depends_on_the_record_alone(make_docs):
+    others = [(i, f"text {i}") for i in range(300)]
+    copies = [(500, "hot")] * 40 + [(None, "none")] * 7
+
+    def slots_of(pairs, parts):
+        found = defaultdict(list)
+        for r in slots.measured(make_docs(pairs, parts=parts)).collect():
+            found[r["doc_id"], r["text_crc32"]].append(r["vslot"])
+        return {k: sorted(v) for k, v in found.items()}
+
+    one, three = slots_of(others + copies, 1), slots_of(copies + others, 3)
+    assert one == three and len(set(one[500, zlib.crc32(b"hot")])) > 30
+    alone, twice = slots_of([(7, "x")], 2), slots_of([(7, "x"), (7, "x")], 2)
+    assert set(alone[7, zlib.crc32(b"x")]) < set(twice[7, zlib.crc32(b"x")])
+
+
+def test_the_first_map_is_stored(spark, make_docs, tmp_path):
+    path = f"file://{tmp_path}/map"
+    rows = slots.shard_documents(make_docs([(i, "a" * (i % 50)) for i in range(500)] + [(900, "b" * 2_000_000)]), 4, slots=64, path=path)
+    assert rows.count() == 501
+    stored = spark.read.parquet(path)
+    zero = {r["vslot"]: r["shard"] for r in stored.filter("version = 0").collect()}
+    assert zero == {k: k % 4 for k in range(64)} and stored.filter("version = 1").count() == 64
+
+
 def test_copies_of_one_row_are_spread_over_shards(make_docs):
     pairs = [(7, "one copy of many")] * 300 + [(None, "no id")] * 300 + [(i, f"text {i} " * 3) for i in range(300, 600)]
     rows = slots.shard_documents(make_docs(pairs), shards=8).collect()
@@ -178,6 +203,15 @@ def test_embedding_links_equal_brute_force(spark, options, threshold):
     assert all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in got)
 
 
+def test_links_of_very_small_and_very_large_components(spark):
+    x = [3.0, 4.0, 0.5, -1.0]
+    rows = [(i, [v * s for v in x], 0) for i, s in enumerate((1.0, 1e-200, 1e200, 1e307, 5e-324 / 0.5))] + [
+        (9, [1e200, -1e200, 1e199, 1e180], 0), (10, [-3e-300, 4e-300, 1e-310, 0.0], 0)]
+    schema = T.StructType([VECTORS["vec_id"], T.StructField("embedding", T.ArrayType(T.DoubleType())), VECTORS["label"]])
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embedding_dedup.link_vectors(spark.createDataFrame(rows, schema)).collect()}
+    assert got[0] == got[1] == got[2] == got[3] and got[0][0] >= 3 and got[0][1] == 0 and got[9] == (0, 9) and got[10] == (0, 10)
+
+
 def test_pruning_gives_up_pairs_early_and_loses_none():
     rng = np.random.default_rng(4)
     a = rng.normal(size=(50, 64)) * np.geomspace(4, 0.01, 64)
@@ -250,6 +284,54 @@ def test_labels_with_the_same_trigrams_reject_no_document(make_docs):
     assert (filters.masks(code)[:, 0] & np.uint64(127) == 127).all()
 
 
+def plain_languages(taught, texts, min_part, min_share=0.3):
+    """The same decision with plain sets: no filter, no false positive."""
+    def grams(text):
+        found = set()
+        for codes, _ in langid.trigrams([text]):
+            found |= set(codes.tolist())
+        return found
+    parts = {}
+    for lang in sorted({x for _, x in taught}):
+        n = Counter(g for t, x in taught if x == lang for g in grams(t))
+        parts[lang] = {g: c / sum(n.values()) for g, c in n.items()}
+    own = {lang: {g for g, v in p.items() if v >= min_part} for lang, p in parts.items()}
+    top = Counter()
+    for p in parts.values():
+        for g, v in p.items():
+            top[g] = max(top[g], v)
+    marks = {lang: {g for g in own[lang] if parts[lang][g] >= (parts[lang][g] + top[g]) * min_share} for lang in own}
+    out = []
+    for t in texts:
+        g = grams(t)
+        found = {lang: len(g & marks[lang]) / len(g) for lang in own}
+        best = max(own, key=lambda k: (found[k], [-ord(c) for c in k]))
+        mass = max(0.05, sum(parts[best][x] for x in own[best]))
+        out.append((found, best, min(1.0, len(g & own[best]) / len(g) / mass)))
+    return out
+
+
+def zipf_han(rng, n):
+    return "".join(chr(0x4E00 + min(5999, int(rng.paretovariate(0.6)))) for _ in range(n))
+
+
+def test_languages_equal_plain_sets_and_rare_trigrams_lower_no_score(make_docs):
+    rng = random.Random(21)
+    rows = labelled(rng, 90) + [(1000 + i, zipf_han(rng, 150), "zh") for i in range(60)]
+    rows += [(2000 + i, " ".join(rng.choices(NORTH + SOUTH + ["mixed", "words"], k=30)), "mix") for i in range(40)]
+    docs = make_docs([(i, t) for i, t, _ in rows], [x for _, _, x in rows])
+    for min_part in (1e-5, 4e-4):
+        filters = langid.learn(docs, min_part=min_part, entries_a_gram=200)
+        got = {r["carried"]["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.predict(docs, filters, ["doc_id"]).collect()}
+        want = plain_languages([(t, x) for _, t, x in rows], [t for _, t, _ in rows], min_part)
+        for (i, _, _), (found, best, score) in zip(rows, want):
+            second = max(v for k, v in found.items() if k != best)
+            if found[best] - second > 0.02:
+                assert got[i][0] == best and abs(got[i][1] - score) < 0.03
+        assert min(got[i][1] for i, _, x in rows if x == "zh") > 0.4
+        assert langid.keep_known(docs, min_part=min_part).count() == len(rows)
+
+
 def test_nothing_learned_and_empty_tables(make_docs):
     filters = langid.learn(make_docs([]))
     assert langid.predict(make_docs([]), filters, ["doc_id"]).count() == 0
