@@ -18,6 +18,7 @@ Edge cases: vectors that are null, empty, zero or hold null or non-finite compon
 vectors with a null label, link with nothing and are components of their own; vectors of different
 length never link; a null vec_id takes part but names no component; repeated rows are vectors
 of their own and link with each other; an empty table gives no rows; other columns are not read.
+Components may be as large or small as doubles are: vectors are scaled by a power of two first.
 """
 
 from __future__ import annotations
@@ -46,7 +47,10 @@ def _double(values: pa.Array) -> np.ndarray:
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
-    return _double(column).reshape(len(column), -1)
+    """The vectors as rows, each times the power of two that brings its largest component to [0.5, 1): exact
+    for cosines, and no square vanishes or overflows."""
+    x = _double(column).reshape(len(column), -1)
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
 
 
 def _moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,7 +171,7 @@ def link_vectors(vectors: DataFrame, threshold: float = 0.93, block_rows: int =
         F.col("vec_id").cast("long").alias("vec_id"), F.col("label"),
         F.transform("embedding", lambda x: x.cast("double")).alias("embedding")), "vectors")
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    # the largest component decides whether squares vanish or overflow
+    # not zero: a largest component above zero
     largest = F.array_max(F.transform("embedding", F.abs))
     valid = F.coalesce(F.col("label").isNotNull() & (F.size("embedding") > 0) & finite & (largest > 0), F.lit(False))
     classes = materialize(
