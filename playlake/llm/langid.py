@@ -13,7 +13,9 @@ holds bit i of every filter as a bit mask.  A trigram's ``hashes`` entries, comb
 with AND, give all languages that hold it at once.  The hits of a text's distinct trigrams are counted for each
 language and corrected for false positives, whose rate is the filter's fill to the power
 ``hashes``: ``share = (hits / trigrams - rate) / (1 - rate)``.  The largest share of
-marking trigrams decides; the score is the language's share in the first filter, to which common ones count.
+marking trigrams decides; the score is the language's share in the first filter, to which common ones count,
+over the share of the language's own trigrams that this filter holds (``mass``): rare trigrams that are left out,
+most of them where the alphabet is large, lower no text's score.
 
 Training reads text and label of training rows only; prediction reads the text only.
 
@@ -137,6 +139,8 @@ class Filters:
     slices: np.ndarray
     hashes: int
     rates: np.ndarray
+    #: of each language the part of its trigrams that its filter holds
+    mass: np.ndarray
 
     def _places(self, codes: np.ndarray) -> Iterator[np.ndarray]:
         yield from _places(codes, self.slices.shape[0], self.hashes)
@@ -158,9 +162,13 @@ def _places(codes: np.ndarray, size: int, hashes: int) -> Iterator[np.ndarray]:
         yield ((x + np.uint64(k) * step) & np.uint64(size - 1)).astype(np.int64)
 
 
+#: the least mass that scores are divided by: below, what a filter holds says too little of a language
+LEAST_MASS = 0.05
+
+
 def build_filters(grams: dict[str, np.ndarray], marking: dict[str, np.ndarray] | None = None, hashes: int = 3,
-                  entries_a_gram: int = 16) -> Filters:
-    """``marking``: for each language those of its ``grams`` that mark it."""
+                  entries_a_gram: int = 16, mass: dict[str, float] | None = None) -> Filters:
+    """``marking``: for each language those of its ``grams`` that mark it; ``mass``: the part of its trigrams they are."""
     languages = sorted(grams)
     most = max((g.size for g in grams.values()), default=0)
     size = 1 << max(10, int(np.ceil(np.log2(max(1, most * entries_a_gram)))))
@@ -173,7 +181,7 @@ def build_filters(grams: dict[str, np.ndarray], marking: dict[str, np.ndarray] |
             bit[at] = True
         slices[bit, i // 64] |= np.uint64(1 << (i % 64))
         rates[i] = bit.mean() ** hashes
-    return Filters(languages, slices, hashes, rates)
+    return Filters(languages, slices, hashes, rates, np.array([max(LEAST_MASS, (mass or {}).get(k, 1.0)) for k in languages]))
 
 
 def learn(rows: DataFrame, min_part: float = 1e-5, min_share: float = 0.3, **options) -> Filters:
@@ -188,14 +196,16 @@ def learn(rows: DataFrame, min_part: float = 1e-5, min_share: float = 0.3, **opt
     marks = F.col("part") >= (F.col("part") + F.col("top")) * min_share
     # codes have 63 bits: the sign tells those that mark the language
     chosen = (parts.filter(F.col("part") >= min_part).join(tops, "gram")
-              .groupBy("lang").agg(F.collect_list(F.when(marks, F.bitwise_not("gram")).otherwise(F.col("gram"))).alias("grams")))
-    grams, marking = {}, {}
+              .groupBy("lang").agg(F.collect_list(F.when(marks, F.bitwise_not("gram")).otherwise(F.col("gram"))).alias("grams"),
+                                   F.sum("part").alias("mass")))
+    grams, marking, mass = {}, {}, {}
     # a language has at most 1 / min_part grams
     for r in chosen.collect():
         codes = np.array(r["grams"], np.int64)
         marking[r["lang"]] = np.sort(~codes[codes < 0]).view(np.uint64)
         grams[r["lang"]] = np.sort(np.where(codes < 0, ~codes, codes)).view(np.uint64)
-    return build_filters(grams, marking, **options)
+        mass[r["lang"]] = min(1.0, r["mass"])
+    return build_filters(grams, marking, mass=mass, **options)
 
 
 # ---------------------------------------------------------------- prediction
@@ -229,7 +239,8 @@ def _predict(batches: Iterator[pa.RecordBatch], filters: Filters) -> Iterator[pa
             # the last filters are those of the marking trigrams
             best = found[:, -len(filters.languages):].argmax(axis=1) if filters.languages else np.zeros(batch.num_rows, np.int64)
             known = (n > 0) & bool(filters.languages)
-            score = found[np.arange(best.size), best] if filters.languages else np.zeros(batch.num_rows)
+            score = (np.minimum(found[np.arange(best.size), best] / filters.mass[best], 1) if filters.languages
+                     else np.zeros(batch.num_rows))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(names[np.where(known, best, len(filters.languages))], pa.string()),
                  pa.array(np.where(known, score, 0.0))], names=["carried", "lang_pred", "score"])
