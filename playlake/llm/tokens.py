@@ -20,8 +20,9 @@ from playlake.llm.pretoken import byte_symbols, split_utf8
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-#: pre-tokens in a generation of a worker's cache (two are held), and the longest one kept (bytes)
-CACHE_ENTRIES = 400_000
+#: pre-tokens at which a generation of a worker's cache ends (two are held, some 180 bytes an entry, and one
+#: piece may add its own), and the longest one kept (bytes)
+CACHE_ENTRIES = 300_000
 CACHE_BYTES = 48
 #: bytes of texts that are split in one pass
 TOGETHER = 1 << 20
@@ -30,24 +31,25 @@ _PACK = [struct.Struct(f"<{n}I") for n in range(17)]
 
 
 class _Ids(dict):
-    """pre-token -> its ids as little-endian unsigned 32-bit integers; the generation before is kept too."""
+    """pre-token -> its ids as little-endian unsigned 32-bit integers, with the generation ``before``."""
 
-    def __init__(self, encode):
+    def __init__(self, encode, before: dict[bytes, bytes] | None = None):
         super().__init__()
-        self.encode = encode
-        self.before: dict[bytes, bytes] = {}
+        self.encode, self.before = encode, before or {}
 
     def __missing__(self, word: bytes) -> bytes:
         ids = self.before.get(word)
         if ids is None:
             ids = self.encode(word)
         if len(word) <= CACHE_BYTES:
-            if len(self) >= CACHE_ENTRIES:
-                self.before = dict(self)
-                self.clear()
             self[word] = ids
         return ids
 
+    def next(self) -> _Ids:
+        """A new generation after this one; that before this one goes."""
+        self.before = {}
+        return _Ids(self.encode, self)
+
 
 class Encoder:
     """``ids(text)``: what ``Tokenizer.encode(text, add_special_tokens=False).ids`` gives, as bytes."""
@@ -96,10 +98,13 @@ class Encoder:
             return [b""] * n
         width = np.int64 if pa.types.is_large_string(texts.type) else np.int32
         bounds = np.frombuffer(texts.buffers()[1], width)[texts.offset:texts.offset + n + 1].astype(np.int64)
-        data, get = memoryview(texts.buffers()[2]), self.cache.__getitem__
+        data = memoryview(texts.buffers()[2])
         found: list[bytes] = []
         a = 0
         while a < n:
+            if len(self.cache) >= CACHE_ENTRIES:
+                self.cache = self.cache.next()
+            get = self.cache.__getitem__
             z = max(a + 1, int(np.searchsorted(bounds, bounds[a] + TOGETHER, "right")) - 1)
             piece = bytes(data[bounds[a]:bounds[z]])
             ids = [b"".join(map(get, words)) for words in split_utf8(piece, bounds[a + 1:z + 1] - bounds[a])]
