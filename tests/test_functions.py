@@ -64,3 +64,28 @@ def test_timestamp_from_millis_is_timezone_free(spark):
     df = spark.createDataFrame([(1704067200123,)], "ms bigint")
     got = df.select(timestamp_from_millis(F.col("ms")).alias("t")).first().t
     assert got == dt.datetime(2024, 1, 1, 0, 0, 0, 123000)
+
+
+def test_event_properties_are_resolved_as_one_array(spark):
+    """Odd properties, and a plan whose nested values aren't a column of their own each (too long to compile)."""
+    import contextlib
+    import io
+
+    from playlake.plans.events import extract_properties
+    texts = ['{"user_id":" u ","device_id":"{x","platform":" iOS ","adid":"0000-0000","idfa":"","country":{"a":1},"city":[1]}',
+             '{"user_id":"","device_id":null,"platform":"ios","idfa":"0000-0000","os_version":15,"ftue_step":"territory","ftue_value":" T "}',
+             '{"platform":"  ","adid":" ","ftue_step":" territory","ftue_value":"T","territory":" R "}', "{}", None]
+    ids = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "event_id string, event_properties string").select(
+        "event_id", "event_properties", F.lit(None).cast("timestamp_ntz").alias("event_timestamp"),
+        F.lit("n").alias("event_name"), F.lit("t").alias("_tie"))
+    found = extract_properties(ids)
+    got = [tuple(r[c] for c in ("user_id", "device_id", "platform", "os_version", "country", "city", "adid", "idfa", "territory"))
+           for r in found.orderBy("event_id").collect()]
+    assert got == [("u", "{x", "ios", None, None, None, "0000-0000", "", None),
+                   (None, None, "ios", "15", None, None, None, None, "T"),
+                   (None, None, None, None, None, None, "", None, "R"),
+                   (None,) * 9, (None,) * 9]
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        found.explain()
+    assert "_n_device_model" not in buf.getvalue() and "transform(" in buf.getvalue()

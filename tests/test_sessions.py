@@ -55,3 +55,28 @@ def test_stitch_uses_first_user_of_device(spark):
         "event_timestamp timestamp_ntz, event_id string, user_id string, device_id string, event_source string")
     got = {r.event_id: r.stitched_user_id for r in stitch(ev, identity_map(ev)).collect()}
     assert got == {"e1": "u1", "e2": "u1", "e3": "u1", "e4": "u2"}
+
+
+def test_session_attributes_are_ordered_by_one_number(spark):
+    """Each attribute's state in the exchange holds a place in the timeline, not a time and an id."""
+    import contextlib
+    import io
+
+    from pyspark.sql import functions as F
+
+    from playlake.plans import sessions as J2
+    t0 = dt.datetime(1969, 12, 31, 23, 50)      # across days and the epoch
+    rows = [("frontend", "d", None if i < 3 else "u", t0 + dt.timedelta(minutes=5 * (i // 2)), f"e{i % 2}{9 - i}", f"v{i}" if i > 3 else None)
+            for i in range(8)]
+    se = spark.createDataFrame(rows, "event_source string, device_id string, user_id string, event_timestamp timestamp_ntz, "
+                                     "event_id string, country string")
+    se = se.select("*", *[F.lit(None).cast("string").alias(c) for c in (*J2.ATTRIBUTES, "event_name", "event_properties") if c != "country"])
+    found = J2.stg_sessions(se)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        found.explain("extended")
+    assert "min_by(country" in buf.getvalue() and "_place" in buf.getvalue()
+    (got,) = found.collect()
+    assert (got.country, got.event_ids_in_session) == ("v4", [f"e{i % 2}{9 - i}" for i in range(8)])
+    (single,) = J2.stg_sessions(se, single_window=True).collect()
+    assert got == single
